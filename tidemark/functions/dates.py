@@ -21,13 +21,8 @@ def week_end(date):
 
 
 def period_ends(first_end, last_end):
-    """Array of all period end dates from `first_end` to `last_end`; empty if reversed.
-
-    A bare `sequence` would count downwards for a reversed range.
-    """
-    return F.when(first_end <= last_end, F.sequence(first_end, last_end)).otherwise(
-        F.array().cast("array<date>")
-    )
+    """Array of all period end dates from `first_end` to `last_end`."""
+    return F.sequence(first_end, last_end)
 
 
 def period_start(end, days=PERIOD_DAYS):

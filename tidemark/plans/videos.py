@@ -7,7 +7,6 @@ from tidemark.operators import join_small, null_safe_join, top_k
 
 VERSION = ["video_id", "title", "description"]
 STATS = ["latest_views", "latest_likes", "latest_dislikes", "total_trending_days"]
-ORDER = [F.desc_nulls_last("total_trending_days"), "video_id", "title", "description"]
 
 
 def _appearances_per_video(videos):
@@ -56,7 +55,8 @@ def top_trending_videos(videos, limit=TOP_VIDEOS):
         result = join_small(versions, stats, ["video_id"], rows=limit, how="left")
     else:
         result = versions.join(stats, "video_id", "left")
-    return top_k(result.select(*VERSION, *STATS), ORDER, limit)
+    order = [F.desc_nulls_last("total_trending_days"), *VERSION]
+    return top_k(result.select(*VERSION, *STATS), order, limit)
 
 
 def trending_days(videos, limit=TOP_VIDEOS):

@@ -11,13 +11,14 @@ from tidemark.sources.files import (
     write_table,
 )
 from tidemark.sources.messages import message_reader, message_writer
-from tidemark.sources.tables import categories, table, transactions, tweets, videos
+from tidemark.sources.tables import categories, messages, table, transactions, tweets, videos
 
 __all__ = [
     "categories",
     "flatten_categories",
     "message_reader",
     "message_writer",
+    "messages",
     "read_categories",
     "read_table",
     "read_transactions",

@@ -4,8 +4,15 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 
-# Quotes inside a field are doubled, and fields may hold line breaks.
-CSV_OPTIONS = {"sep": ",", "quote": '"', "escape": '"'}
+# Quotes inside a field are doubled, and spaces at its ends belong to it (the writer would
+# trim them otherwise).
+CSV_OPTIONS = {
+    "sep": ",",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 
 
 def _read_csv(spark, path, schema, multiline):

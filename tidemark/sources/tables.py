@@ -8,7 +8,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from tidemark.fixed import SNAPSHOT_DATE_FORMAT
+from tidemark.fixed import MESSAGE_TIME_FORMAT, SECONDS_BETWEEN_MESSAGES, SNAPSHOT_DATE_FORMAT
 
 # Columns of `videos` that need the joins to customer and nation.
 FROM_CUSTOMER = ("title", "description", "channel_title", "category_id")
@@ -90,3 +90,17 @@ def tweets(spark, folder):
         F.lit(None).cast("string").alias("response_tweet_id"),
         F.lit(None).cast("string").alias("in_response_to_tweet_id"),
     )
+
+
+def messages(spark, folder):
+    """Events as messages, stamped as a replay from 2024-01-01 at the fixed pace would do.
+
+    The text holds commas, quotes and a line break.
+    """
+    millis = F.col("event_id") * int(SECONDS_BETWEEN_MESSAGES * 1000)
+    sent = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=F.floor(millis / 1000))
+    return table(spark, folder, "events").select(
+        F.col("event_id").cast("string").alias("tweet_id"),
+        F.date_format(sent, MESSAGE_TIME_FORMAT).alias("created_at"),
+        F.concat(F.lit(' said "'), "event_type", F.lit('",\n'), "props", F.lit(" ")).alias("text"),
+    )
