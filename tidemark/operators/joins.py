@@ -21,13 +21,15 @@ def null_safe_join(left, right, keys, how="inner"):
     return left.join(renamed, condition, how).drop(*[f"_right_{k}" for k in keys])
 
 
-def join_small(df, small, keys, rows, how="inner"):
+def join_small(df, small, keys, rows=None, how="inner"):
     """Null-safe join to a frame that holds at most `rows` rows.
 
-    Up to `BROADCAST_ROWS` the small side is broadcast and `df` is not shuffled. Beyond
-    that it is an ordinary join, whose skewed keys adaptive execution splits.
+    Up to `BROADCAST_ROWS` the small side is broadcast and `df` is not shuffled. With a
+    larger bound, or none, Spark picks the join by size, and adaptive execution splits
+    skewed keys.
     """
-    return null_safe_join(df, F.broadcast(small) if rows <= BROADCAST_ROWS else small, keys, how)
+    bounded = bool(rows) and rows <= BROADCAST_ROWS
+    return null_safe_join(df, F.broadcast(small) if bounded else small, keys, how)
 
 
 def with_name(df, dimension, key, name="category_name"):

@@ -8,11 +8,8 @@ from tidemark.operators import first_per_key, join_small, null_safe_join, top_k
 
 def _best_snapshots(videos):
     """The snapshot with the most views per (channel, video); on a tie the newest."""
-    return first_per_key(
-        videos.select("channel_title", "video_id", "date", "views"),
-        ["channel_title", "video_id"],
-        [F.desc_nulls_last("views"), F.desc_nulls_last("date")],
-    )
+    order = [F.desc_nulls_last("views"), F.desc_nulls_last("date")]
+    return first_per_key(videos, ["channel_title", "video_id"], order)
 
 
 def top_channels(videos, limit=TOP_CHANNELS):
@@ -21,7 +18,7 @@ def top_channels(videos, limit=TOP_CHANNELS):
     The dates span the kept snapshots, not all appearances.
     """
     totals = (
-        _best_snapshots(videos)
+        _best_snapshots(videos.select("channel_title", "video_id", "date", "views"))
         .groupBy("channel_title")
         .agg(
             F.min("date").alias("start_date"),
@@ -38,13 +35,11 @@ def top_channel_videos(videos, limit=TOP_CHANNELS):
 
     Rows of other channels are dropped at the scan, before the best snapshots are looked for.
     """
-    top = top_channels(videos, limit)
-    if limit:
-        videos = join_small(videos, top.select("channel_title"), ["channel_title"], rows=limit)
-        result = join_small(_best_snapshots(videos), top.drop("number_of_videos"), ["channel_title"], rows=limit)
-    else:
-        result = null_safe_join(_best_snapshots(videos), top.drop("number_of_videos"), ["channel_title"])
-    return result.select("channel_title", "start_date", "end_date", "total_views", "video_id", "views")
+    top = top_channels(videos, limit).drop("number_of_videos")
+    rows = videos.select("channel_title", "video_id", "date", "views")
+    return _best_snapshots(join_small(rows, top, ["channel_title"], rows=limit)).select(
+        "channel_title", "start_date", "end_date", "total_views", "video_id", "views"
+    )
 
 
 def _video_channels(videos):
@@ -77,10 +72,7 @@ def top_trending_channel_videos(videos, limit=TOP_TRENDING_CHANNELS):
     """The video versions summed in `top_trending_channels`, one row each."""
     top = top_trending_channels(videos, limit).withColumnRenamed("channel_name", "channel_title")
     pairs = _video_channels(videos).select("video_id", "channel_title")
-    if limit:
-        members = join_small(pairs, top, ["channel_title"], rows=limit)
-    else:
-        members = null_safe_join(pairs, top, ["channel_title"])
+    members = join_small(pairs, top, ["channel_title"], rows=limit)
     versions = videos.groupBy("video_id", "title", "description").agg(F.count("*").alias("trending_days"))
     return null_safe_join(versions, members, ["video_id"]).select(
         F.col("channel_title").alias("channel_name"),

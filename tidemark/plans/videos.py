@@ -3,26 +3,22 @@
 from pyspark.sql import functions as F
 
 from tidemark.fixed import TOP_VIDEOS
-from tidemark.operators import join_small, null_safe_join, top_k
+from tidemark.operators import join_small, top_k
 
 VERSION = ["video_id", "title", "description"]
 STATS = ["latest_views", "latest_likes", "latest_dislikes", "total_trending_days"]
 
 
-def _appearances_per_video(videos):
-    """Rows with a date per video. A missing id belongs to no video and has no total."""
-    return videos.groupBy("video_id").agg(
-        F.when(F.col("video_id").isNotNull(), F.count("date")).alias("total_trending_days")
-    )
-
-
 def _of_leading_videos(videos, limit):
     """Rows of the `limit` leading videos, which are sure to hold the `limit` leading versions.
 
-    Only two narrow columns are shuffled for this, and never a title or description.
+    This scans and shuffles ids and day counts only, never a title or description. Rows
+    without an id belong to no video; they have no total and come last.
     """
-    order = [F.desc_nulls_last("total_trending_days"), "video_id"]
-    leading = top_k(_appearances_per_video(videos), order, limit).select("video_id")
+    totals = videos.groupBy("video_id").agg(
+        F.when(F.col("video_id").isNotNull(), F.count("date")).alias("total")
+    )
+    leading = top_k(totals, [F.desc_nulls_last("total"), "video_id"], limit).select("video_id")
     return join_small(videos, leading, ["video_id"], rows=limit)
 
 
@@ -34,27 +30,24 @@ def top_trending_videos(videos, limit=TOP_VIDEOS):
     """
     if limit:
         videos = _of_leading_videos(videos, limit)
-    versions = videos.groupBy(*VERSION).agg(
-        F.count("date").alias("days"),
-        F.max(F.struct("date", "views", "likes", "dislikes")).alias("latest"),
-    )
-    whole = (
-        versions.where(F.col("video_id").isNotNull())
+    # Two scans over separate columns: texts here, figures there, joined once both are small.
+    versions = videos.select(*VERSION).distinct()
+    stats = (
+        videos.where(F.col("video_id").isNotNull())
         .groupBy("video_id")
-        .agg(F.sum("days").alias("total_trending_days"), F.max("latest").alias("latest"))
-    )
-    stats = whole.select(
-        "video_id",
-        F.col("latest.views").alias("latest_views"),
-        F.col("latest.likes").alias("latest_likes"),
-        F.col("latest.dislikes").alias("latest_dislikes"),
-        "total_trending_days",
+        .agg(
+            F.max(F.struct("date", "views", "likes", "dislikes")).alias("latest"),
+            F.count("date").alias("total_trending_days"),
+        )
+        .select(
+            "video_id",
+            F.col("latest.views").alias("latest_views"),
+            F.col("latest.likes").alias("latest_likes"),
+            F.col("latest.dislikes").alias("latest_dislikes"),
+            "total_trending_days",
+        )
     )
-    versions = versions.select(*VERSION)
-    if limit:
-        result = join_small(versions, stats, ["video_id"], rows=limit, how="left")
-    else:
-        result = versions.join(stats, "video_id", "left")
+    result = join_small(versions, stats, ["video_id"], rows=limit, how="left")
     order = [F.desc_nulls_last("total_trending_days"), *VERSION]
     return top_k(result.select(*VERSION, *STATS), order, limit)
 
@@ -64,10 +57,6 @@ def trending_days(videos, limit=TOP_VIDEOS):
 
     Rows, not arrays: the figures of one video may be any share of the table.
     """
-    top = top_trending_videos(videos, limit)
     snapshots = videos.select(*VERSION, "date", "views", "likes", "dislikes")
-    if limit:
-        result = join_small(snapshots, top, VERSION, rows=limit)
-    else:
-        result = null_safe_join(snapshots, top, VERSION)
+    result = join_small(snapshots, top_trending_videos(videos, limit), VERSION, rows=limit)
     return result.select(*VERSION, *STATS, "date", "views", "likes", "dislikes")

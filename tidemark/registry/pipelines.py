@@ -40,20 +40,23 @@ JOIN videos v ON v.video_id IS NOT DISTINCT FROM t.video_id
              AND v.description IS NOT DISTINCT FROM t.description"""
 
 
+_TRENDING_INPUT = ("video_id", "title", "description", "trending_date", "views", "likes", "dislikes")
+
+
 def top_trending_videos(spark, folder):
-    return plans.top_trending_videos(typed_videos(spark, folder))
+    return plans.top_trending_videos(typed_videos(spark, folder, *_TRENDING_INPUT))
 
 
 def all_trending_videos(spark, folder):
-    return plans.top_trending_videos(typed_videos(spark, folder), limit=None)
+    return plans.top_trending_videos(typed_videos(spark, folder, *_TRENDING_INPUT), limit=None)
 
 
 def trending_days(spark, folder):
-    return plans.trending_days(typed_videos(spark, folder))
+    return plans.trending_days(typed_videos(spark, folder, *_TRENDING_INPUT))
 
 
 def video_documents(spark, folder):
-    docs = documents.video_documents(typed_videos(spark, folder))
+    docs = documents.video_documents(typed_videos(spark, folder, *_TRENDING_INPUT))
     return docs.select("video.*", F.explode("video.trendingDays").alias("day")).select(
         F.col("id").alias("video_id"),
         "title",

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from tidemark.fixed import MESSAGE_TIME_FORMAT, SECONDS_BETWEEN_MESSAGES, SNAPSHOT_DATE_FORMAT
 
-# Columns of `videos` that need the joins to customer and nation.
-FROM_CUSTOMER = ("title", "description", "channel_title", "category_id")
+# Columns of `videos` that need the join to customer, and on to nation.
+FROM_CUSTOMER = {"title", "description", "channel_title", "category_id"}
+FROM_NATION = {"channel_title", "category_id"}
 
 
 def table(spark, folder, name):
@@ -25,15 +26,14 @@ def videos(spark, folder, *columns):
     The joins are left joins, so leaving them out changes no row. Neither side is hinted:
     Spark broadcasts by size, and splits a hot user if it has to shuffle.
     """
-    events = table(spark, folder, "events")
-    if not columns or set(columns) & set(FROM_CUSTOMER):
+    rows = table(spark, folder, "events")
+    wanted = set(columns) or FROM_CUSTOMER
+    if wanted & FROM_CUSTOMER:
         customer = table(spark, folder, "customer")
+        rows = rows.join(customer, F.col("user_id") == F.col("c_custkey"), "left")
+    if wanted & FROM_NATION:
         nation = table(spark, folder, "nation")
-        rows = events.join(customer, F.col("user_id") == F.col("c_custkey"), "left").join(
-            nation, F.col("c_nationkey") == F.col("n_nationkey"), "left"
-        )
-    else:
-        rows = events
+        rows = rows.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     event_id = F.col("event_id")
     kind = F.concat(F.lit('"'), "event_type", F.lit('"'))
     shape = {
