@@ -11,12 +11,12 @@ DEDUPE = ("day", "period")
 
 
 def tag_days(videos):
-    """Distinct (video, tag, date). Rows without a date belong to no period."""
-    return (
-        explode_tags(videos.where(F.col("date").isNotNull()), distinct=True)
-        .select("video_id", "tag", "date")
-        .distinct()
-    )
+    """Distinct (video, tag, date).
+
+    A missing date stays in, and later falls in no period; filtering it here would parse
+    every date twice when the frame comes straight from text.
+    """
+    return explode_tags(videos, distinct=True).select("video_id", "tag", "date").distinct()
 
 
 def _covers(days, dedupe, period):

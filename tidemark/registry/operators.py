@@ -331,7 +331,7 @@ QUERIES = {
     "distinct_tags": (
         distinct_tags,
         f"""{VIDEOS_SQL} SELECT DISTINCT video_id, unnest(string_split(replace(tags, '"', ''), '|')) AS tag,
-            CAST(date AS VARCHAR) AS date FROM videos WHERE date IS NOT NULL""",
+            CAST(date AS VARCHAR) AS date FROM videos""",
     ),
     "latest_per_key": (
         latest_per_key,
