@@ -1,0 +1,245 @@
+from collections import Counter
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark import plans
+
+
+def day(n, month=11):
+    return f"17.{n:02d}.{month:02d}"
+
+
+def test_normalize_types_and_bad_values(typed, raw):
+    frame = typed({"views": "x", "likes": None, "trending_date": "bad"}, {})
+    assert dict(frame.dtypes) == {
+        "video_id": "string",
+        "title": "string",
+        "description": "string",
+        "channel_title": "string",
+        "category_id": "string",
+        "tags": "string",
+        "date": "date",
+        "views": "bigint",
+        "likes": "bigint",
+        "dislikes": "bigint",
+    }
+    assert {(r.views, r.likes, r.date) for r in frame.collect()} == {(None, None, None), (1, 1, date(2017, 11, 14))}
+    assert plans.normalize_videos(raw({}).select("video_id", "views")).columns == ["video_id", "views"]
+
+
+# ---------------------------------------------------------------- longest trending videos
+
+
+def test_retitled_video_gives_two_rows_with_the_whole_total(typed):
+    frame = typed(
+        {"trending_date": day(1), "views": "10"},
+        {"trending_date": day(2), "views": "20"},
+        {"trending_date": day(3), "views": "30", "title": "new"},
+    )
+    got = [(r.title, r.latest_views, r.total_trending_days) for r in plans.top_trending_videos(frame).collect()]
+    assert got == [("new", 30, 3), ("t", 30, 3)]
+    days = plans.trending_days(frame).collect()
+    assert Counter((r.title, r.views) for r in days) == Counter([("t", 10), ("t", 20), ("new", 30)])
+
+
+def test_latest_day_tie_and_undated_rows(typed):
+    frame = typed(
+        {"trending_date": day(2), "views": "5", "likes": "1"},
+        {"trending_date": day(2), "views": "9", "likes": "2"},
+        {"trending_date": "bad", "views": "99"},
+    )
+    (row,) = plans.top_trending_videos(frame).collect()
+    assert (row.latest_views, row.latest_likes, row.total_trending_days) == (9, 2, 2)
+    assert plans.trending_days(frame).count() == 3
+
+
+@pytest.mark.parametrize("limit", [0, None])
+def test_no_limit_gives_every_version(typed, limit):
+    frame = typed(*[{"video_id": f"v{i:02d}"} for i in range(25)], {"video_id": None, "title": None})
+    got = plans.top_trending_videos(frame, limit)
+    assert got.count() == 26
+    assert got.where("video_id IS NULL").first().total_trending_days is None
+    assert plans.trending_days(frame, limit).count() == 26
+    assert plans.top_trending_videos(frame).count() == 10
+    # A row without an id ranks last but is not lost.
+    assert plans.top_trending_videos(frame, 26).count() == 26
+
+
+# ---------------------------------------------------------------- weeks
+
+
+def test_weekly_gain_and_single_appearance(typed, titles):
+    # 13 November 2017 is a Monday.
+    frame = typed(
+        {"video_id": "a", "trending_date": day(13), "views": "100"},
+        {"video_id": "a", "trending_date": day(16), "views": "250"},
+        {"video_id": "a", "trending_date": day(18), "views": "400"},
+        {"video_id": "b", "trending_date": day(19), "views": "9999"},
+        {"video_id": "b", "trending_date": day(20), "views": "99999"},
+        {"video_id": "c", "trending_date": "bad", "views": "1"},
+        {"video_id": "c", "trending_date": "bad", "views": "7777"},
+    )
+    (row,) = plans.top_week_categories(frame, titles).collect()
+    assert tuple(row) == (date(2017, 11, 13), date(2017, 11, 19), "1", "Film", 1, 300)
+    (video,) = plans.top_week_category_videos(frame, titles).collect()
+    assert (video.video_id, video.views_gained) == ("a", 300)
+
+
+def test_week_tie_and_unknown_category(typed, titles):
+    frame = typed(
+        *[{"category_id": c, "video_id": c, "trending_date": day(d), "views": str(d)} for c in "32" for d in (13, 14)],
+        *[{"category_id": "29", "trending_date": day(d), "views": str(d)} for d in (20, 21)],
+        *[{"category_id": None, "trending_date": day(d), "views": str(d)} for d in (27, 28)],
+    )
+    got = [(r.category_id, r.category_name) for r in plans.top_week_categories(frame, titles).orderBy("start_date").collect()]
+    assert got == [("2", "Cars"), ("29", None), (None, None)]
+    assert plans.top_week_category_videos(frame, titles).where("category_id IS NULL").count() == 1
+
+
+# ---------------------------------------------------------------- tags
+
+
+def counts(frame):
+    return {(str(r.end_date), r.tag): r.number_of_videos for r in frame.collect()}
+
+
+def test_one_date_gives_thirty_periods(typed):
+    got = plans.top_tags_monthly(typed({"tags": '"a"|"b"|"a"'})).orderBy("start_date", "rank").collect()
+    assert len(got) == 60
+    assert (str(got[0].start_date), str(got[0].end_date)) == ("2017-10-15", "2017-11-14")
+    assert (str(got[-1].start_date), str(got[-1].end_date)) == ("2017-11-13", "2017-12-13")
+    assert {(r.tag, r.rank, r.number_of_videos) for r in got} == {("a", 1, 1), ("b", 2, 1)}
+
+
+def test_two_days_count_twice_by_day_and_once_by_period(typed):
+    frame = typed({"trending_date": day(1)}, {"trending_date": day(3)}, {"trending_date": day(3)})
+    by_day, once = (counts(plans.top_tags_monthly(frame, dedupe)) for dedupe in ("day", "period"))
+    assert by_day[("2017-11-02", "a")] == 1 and by_day[("2017-11-03", "a")] == 2
+    assert by_day[("2017-12-01", "a")] == 1
+    assert by_day.keys() == once.keys() and len(once) == 32
+    assert set(once.values()) == {1}
+    (row,) = plans.top_tag_videos(frame).where("end_date = '2017-11-10'").collect()
+    assert (row.number_of_videos, row.video_id, row.days) == (2, "v", 2)
+
+
+def test_tag_edge_cases(typed):
+    frame = typed(
+        {"video_id": "e", "tags": ""},
+        {"video_id": "n", "tags": None},
+        {"video_id": "o", "tags": "[none]"},
+        {"video_id": "x", "tags": "lost", "trending_date": "bad"},
+    )
+    assert {tag for _, tag in counts(plans.top_tags_monthly(frame))} == {"", "[none]"}
+    assert {r.video_id for r in plans.top_tag_videos(frame).collect()} == {"e", "o"}
+
+
+def test_tag_ties_go_by_name(typed):
+    frame = typed({"tags": "|".join(f"t{i:02d}" for i in range(12))})
+    kept = {tag for _, tag in counts(plans.top_tags_monthly(frame))}
+    assert kept == {f"t{i:02d}" for i in range(10)}
+
+
+def test_unknown_dedupe_is_refused(typed):
+    with pytest.raises(ValueError):
+        plans.top_tags_monthly(typed({}), dedupe="month")
+
+
+# ---------------------------------------------------------------- channels
+
+
+def test_channel_keeps_the_best_snapshot_and_its_date(typed):
+    frame = typed(
+        {"trending_date": day(1), "views": "5"},
+        {"trending_date": day(2), "views": "9"},
+        {"trending_date": day(4), "views": "9"},
+        {"trending_date": day(6), "views": "2"},
+        {"video_id": "w", "trending_date": day(3), "views": "1"},
+        {"channel_title": None, "trending_date": day(5), "views": "3"},
+    )
+    got = [tuple(r) for r in plans.top_channels(frame).collect()]
+    assert got == [
+        ("c", date(2017, 11, 3), date(2017, 11, 4), 10, 2),
+        (None, date(2017, 11, 5), date(2017, 11, 5), 3, 1),
+    ]
+    videos = Counter((r.channel_title, r.video_id, r.views) for r in plans.top_channel_videos(frame).collect())
+    assert videos == Counter([("c", "v", 9), ("c", "w", 1), (None, "v", 3)])
+
+
+def test_reuploaded_video_counts_for_both_channels(typed):
+    frame = typed(
+        {"channel_title": "a"},
+        {"channel_title": "a"},
+        {"channel_title": "b", "title": "again"},
+        {"video_id": "w", "channel_title": "b"},
+        {"video_id": None, "channel_title": "a"},
+    )
+    got = [tuple(r) for r in plans.top_trending_channels(frame).collect()]
+    assert got == [("b", 4), ("a", 3), (None, 1)]
+    rows = Counter(tuple(r) for r in plans.top_trending_channel_videos(frame).collect())
+    assert rows == Counter(
+        [
+            ("a", 3, "v", "t", 2),
+            ("a", 3, "v", "again", 1),
+            ("b", 4, "v", "t", 2),
+            ("b", 4, "v", "again", 1),
+            ("b", 4, "w", "t", 1),
+            (None, 1, None, "t", 1),
+        ]
+    )
+
+
+# ---------------------------------------------------------------- ratios
+
+
+def test_category_videos(typed, titles):
+    frame = typed(
+        {"video_id": "edge", "views": "100000", "likes": "500"},
+        {"video_id": "a", "views": "100001", "likes": "6", "dislikes": "2"},
+        {"video_id": "a", "views": "200000", "likes": "8", "dislikes": "2", "category_id": "2"},
+        {"video_id": "b", "views": "100001", "likes": "6", "dislikes": "0", "category_id": "2"},
+        {"video_id": "c", "views": "100001", "likes": "6", "dislikes": "5", "category_id": "29"},
+        {"video_id": "x", "views": "many", "likes": "6", "dislikes": "5"},
+    )
+    got = plans.top_category_videos(frame, titles).orderBy("category_id", "rank").collect()
+    assert [tuple(r) for r in got] == [
+        ("2", "Cars", 1, "a", "t", 4.0, 200000),
+        ("2", "Cars", 2, "b", "t", None, 100001),
+        ("29", None, 1, "c", "t", 1.2, 100001),
+    ]
+
+
+def test_row_count_and_preview(typed, capsys):
+    frame = typed({}, {})
+    assert plans.row_count(frame).first().n_rows == 2
+    assert plans.preview(frame, 1) == 2
+    out = capsys.readouterr().out
+    assert "root" in out and "only showing top 1 row" in out and "Number rows: 2" in out
+
+
+def test_input_order_does_not_change_results(typed, titles):
+    frame = typed(
+        *[
+            {
+                "video_id": f"v{i % 5}",
+                "title": f"t{i % 3}",
+                "trending_date": day(1 + i % 9),
+                "views": str(100001 + i % 4),
+                "category_id": str(i % 2),
+                "channel_title": f"c{i % 4}",
+                "tags": f"a|b{i % 6}",
+            }
+            for i in range(200)
+        ]
+    )
+    mixed = frame.repartition(7).orderBy(F.xxhash64("video_id", "views", "date"))
+    for analysis in (
+        plans.top_trending_videos,
+        plans.top_tags_monthly,
+        plans.top_channels,
+        plans.top_trending_channels,
+        lambda f: plans.top_week_categories(f, titles),
+        lambda f: plans.top_category_videos(f, titles),
+    ):
+        assert Counter(map(tuple, analysis(frame).collect())) == Counter(map(tuple, analysis(mixed).collect()))
