@@ -46,7 +46,7 @@ def test_view_filter_reaches_the_scan(table, titles):
 
 
 def test_rankings_are_cut_before_the_shuffle(table, titles):
-    for frame in (plans.top_channels(table), plans.top_tags_monthly(table), plans.top_week_categories(table, titles)):
+    for frame in (plans.top_tags_monthly(table), plans.top_week_categories(table, titles)):
         assert "WindowGroupLimit" in physical(frame)
     assert physical(plans.top_category_videos(table, titles)).count("WindowGroupLimit") == 4
 
@@ -65,3 +65,8 @@ def test_sizes_decide_on_the_dimension_join(spark, table, titles):
         assert "SortMergeJoin" in physical(plans.top_week_categories(table, titles))
     finally:
         spark.conf.set(key, before)
+
+
+def test_best_snapshots_are_hash_aggregated(table):
+    plan = physical(plans.top_channels(table))
+    assert "HashAggregate" in plan and "Sort" not in plan.replace("orderBy", "")

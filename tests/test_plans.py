@@ -167,6 +167,23 @@ def test_channel_keeps_the_best_snapshot_and_its_date(typed):
     assert videos == Counter([("c", "v", 9), ("c", "w", 1), (None, "v", 3)])
 
 
+def test_best_snapshot_with_missing_and_extreme_values(typed):
+    frame = typed(
+        {"video_id": "a", "views": "x", "trending_date": day(1)},
+        {"video_id": "a", "views": "x", "trending_date": day(3)},
+        {"video_id": "b", "views": str(2**63 - 1), "trending_date": "bad", "channel_title": "top"},
+        {"video_id": "b", "views": str(2**63 - 2), "trending_date": day(9), "channel_title": "top"},
+        {"video_id": "c", "views": "5", "trending_date": "bad"},
+        {"video_id": "c", "views": "5", "trending_date": day(2)},
+        {"video_id": "c", "views": "-7", "trending_date": day(8)},
+    )
+    got = [tuple(r) for r in plans.top_channels(frame).collect()]
+    assert got == [
+        ("top", None, None, 2**63 - 1, 1),
+        ("c", date(2017, 11, 2), date(2017, 11, 3), 5, 2),
+    ]
+
+
 def test_reuploaded_video_counts_for_both_channels(typed):
     frame = typed(
         {"channel_title": "a"},

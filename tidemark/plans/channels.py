@@ -3,13 +3,27 @@
 from pyspark.sql import functions as F
 
 from tidemark.fixed import TOP_CHANNELS, TOP_TRENDING_CHANNELS
-from tidemark.operators import first_per_key, join_small, null_safe_join, top_k
+from tidemark.operators import join_small, null_safe_join, top_k
 
+# Days since 1970 of any date, as a part of an ordering key: within ±DAY_RANGE / 2.
+DAY_RANGE = 10_000_000
+LONG_BEFORE = -4_000_000
+LEAST_LONG = -(2**63)
 
-def _best_snapshots(videos):
-    """The snapshot with the most views per (channel, video); on a tie the newest."""
-    order = [F.desc_nulls_last("views"), F.desc_nulls_last("date")]
-    return first_per_key(videos, ["channel_title", "video_id"], order)
+
+def _best_snapshots(videos, *with_channel):
+    """The most views per (channel, video), and the newest date that has them.
+
+    Views and date are ordered by one decimal, so that this is a plain hash aggregate which
+    combines map-side. A ranking would sort the whole table first. `with_channel` names
+    columns that depend on the channel alone.
+    """
+    days = F.coalesce(F.unix_date("date"), F.lit(LONG_BEFORE))
+    views = F.coalesce(F.col("views"), F.lit(LEAST_LONG)).cast("decimal(19,0)")
+    return videos.groupBy("channel_title", *with_channel, "video_id").agg(
+        F.max("views").alias("views"),
+        F.max_by("date", views * DAY_RANGE + days).alias("date"),
+    )
 
 
 def top_channels(videos, limit=TOP_CHANNELS):
@@ -37,7 +51,8 @@ def top_channel_videos(videos, limit=TOP_CHANNELS):
     """
     top = top_channels(videos, limit).drop("number_of_videos")
     rows = videos.select("channel_title", "video_id", "date", "views")
-    return _best_snapshots(join_small(rows, top, ["channel_title"], rows=limit)).select(
+    rows = join_small(rows, top, ["channel_title"], rows=limit)
+    return _best_snapshots(rows, "start_date", "end_date", "total_views").select(
         "channel_title", "start_date", "end_date", "total_views", "video_id", "views"
     )
 
