@@ -9,35 +9,27 @@ VERSION = ["video_id", "title", "description"]
 STATS = ["latest_views", "latest_likes", "latest_dislikes", "total_trending_days"]
 
 
-def _of_leading_videos(videos, limit):
-    """Rows of the `limit` leading videos, which are sure to hold the `limit` leading versions.
+def _leading_videos(videos, limit):
+    """Id, total and newest date of the `limit` leading videos.
 
-    This scans and shuffles ids and day counts only, never a title or description. Rows
-    without an id belong to no video; they have no total and come last.
+    They are sure to hold the `limit` leading versions. Only ids and dates are read and
+    shuffled for them. Rows without an id belong to no video: no total, last in order.
     """
     totals = videos.groupBy("video_id").agg(
-        F.when(F.col("video_id").isNotNull(), F.count("date")).alias("total")
+        F.when(F.col("video_id").isNotNull(), F.count("date")).alias("total_trending_days"),
+        F.max("date").alias("date"),
     )
-    leading = top_k(totals, [F.desc_nulls_last("total"), "video_id"], limit).select("video_id")
-    return join_small(videos, leading, ["video_id"], rows=limit)
+    return top_k(totals, [F.desc_nulls_last("total_trending_days"), "video_id"], limit)
 
 
-def top_trending_videos(videos, limit=TOP_VIDEOS):
-    """One row per video version (id, title, description), by appearances of the video.
-
-    A retitled video gives several rows; each has the total and the latest figures of the
-    whole video. `limit` None or 0 gives all versions, unsorted.
-    """
-    if limit:
-        videos = _of_leading_videos(videos, limit)
-    # Two scans over separate columns: texts here, figures there, joined once both are small.
-    versions = videos.select(*VERSION).distinct()
-    stats = (
-        videos.where(F.col("video_id").isNotNull())
+def _stats(snapshots, total):
+    """Latest figures and total per video."""
+    return (
+        snapshots.where(F.col("video_id").isNotNull())
         .groupBy("video_id")
         .agg(
             F.max(F.struct("date", "views", "likes", "dislikes")).alias("latest"),
-            F.count("date").alias("total_trending_days"),
+            total.alias("total_trending_days"),
         )
         .select(
             "video_id",
@@ -47,7 +39,24 @@ def top_trending_videos(videos, limit=TOP_VIDEOS):
             "total_trending_days",
         )
     )
-    result = join_small(versions, stats, ["video_id"], rows=limit, how="left")
+
+
+def top_trending_videos(videos, limit=TOP_VIDEOS):
+    """One row per video version (id, title, description), by appearances of the video.
+
+    A retitled video gives several rows; each has the total and the latest figures of the
+    whole video. `limit` None or 0 gives all versions, unsorted.
+    """
+    versions = videos.select(*VERSION)
+    if limit:
+        # Two more scans, over texts and over figures; both keep few rows right away.
+        leading = _leading_videos(videos, limit)
+        versions = join_small(versions, leading.select("video_id"), ["video_id"], rows=limit)
+        newest = join_small(videos, leading, ["video_id", "date"], rows=limit)
+        stats = _stats(newest, F.max("total_trending_days"))
+    else:
+        stats = _stats(videos, F.count("date"))
+    result = join_small(versions.distinct(), stats, ["video_id"], rows=limit, how="left")
     order = [F.desc_nulls_last("total_trending_days"), *VERSION]
     return top_k(result.select(*VERSION, *STATS), order, limit)
 
