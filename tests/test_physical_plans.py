@@ -41,6 +41,16 @@ def test_scans_are_pruned(table):
     assert schemas_read(physical(plans.row_count(table))) == [set()]
 
 
+def test_leading_videos_are_found_once(spark, table):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = physical(plans.top_trending_videos(table))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("partial_count(date") == 1
+    assert len(schemas_read(plan)) == 3
+
+
 def test_view_filter_reaches_the_scan(table, titles):
     assert "GreaterThan(views,100000)" in physical(plans.top_category_videos(table, titles))
 

@@ -22,22 +22,16 @@ def _leading_videos(videos, limit):
     return top_k(totals, [F.desc_nulls_last("total_trending_days"), "video_id"], limit)
 
 
-def _stats(snapshots, total):
-    """Latest figures and total per video."""
-    return (
-        snapshots.where(F.col("video_id").isNotNull())
-        .groupBy("video_id")
-        .agg(
-            F.max(F.struct("date", "views", "likes", "dislikes")).alias("latest"),
-            total.alias("total_trending_days"),
-        )
-        .select(
-            "video_id",
-            F.col("latest.views").alias("latest_views"),
-            F.col("latest.likes").alias("latest_likes"),
-            F.col("latest.dislikes").alias("latest_dislikes"),
-            "total_trending_days",
-        )
+def _latest_figures(snapshots, keys, **more):
+    """Figures of the newest snapshot per video; on a tie the higher ones."""
+    latest = F.max(F.struct("date", "views", "likes", "dislikes")).alias("latest")
+    rows = snapshots.where(F.col("video_id").isNotNull()).groupBy(*keys)
+    return rows.agg(latest, *[c.alias(name) for name, c in more.items()]).select(
+        *keys,
+        F.col("latest.views").alias("latest_views"),
+        F.col("latest.likes").alias("latest_likes"),
+        F.col("latest.dislikes").alias("latest_dislikes"),
+        *more,
     )
 
 
@@ -49,14 +43,16 @@ def top_trending_videos(videos, limit=TOP_VIDEOS):
     """
     versions = videos.select(*VERSION)
     if limit:
-        # Two more scans, over texts and over figures; both keep few rows right away.
+        # Two more scans, over texts and over figures; both keep few rows right away. Both
+        # use all columns of `leading`, so that Spark computes it once.
         leading = _leading_videos(videos, limit)
-        versions = join_small(versions, leading.select("video_id"), ["video_id"], rows=limit)
-        newest = join_small(videos, leading, ["video_id", "date"], rows=limit)
-        stats = _stats(newest, F.max("total_trending_days"))
+        keys = ["video_id", "date"]
+        newest = join_small(videos, leading.select(*keys), keys, rows=limit)
+        versions = join_small(versions, leading, ["video_id"], rows=limit).distinct()
+        result = join_small(versions, _latest_figures(newest, keys), keys, rows=limit, how="left")
     else:
-        stats = _stats(videos, F.count("date"))
-    result = join_small(versions.distinct(), stats, ["video_id"], rows=limit, how="left")
+        stats = _latest_figures(videos, ["video_id"], total_trending_days=F.count("date"))
+        result = join_small(versions.distinct(), stats, ["video_id"], how="left")
     order = [F.desc_nulls_last("total_trending_days"), *VERSION]
     return top_k(result.select(*VERSION, *STATS), order, limit)
 
