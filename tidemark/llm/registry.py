@@ -1,10 +1,14 @@
 """Registered queries of the ten operators with their production parameters."""
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import sharding, url_filter
+from tidemark.llm import pieces, sharding, url_filter, warc, wu_manber
+from tidemark.session import work_folder
 from tidemark.sources import table
 
+PIECE_MODEL = "piece_bpe_32k.model"
+
 URL_RULES = [
     ("block", "net", "/"),
     ("allow", "example.net", "/en/"),
@@ -13,6 +17,32 @@ URL_RULES = [
 ]
 
 
+def op2_warc_zstd(spark, folder):
+    files = warc.write_archives(table(spark, folder, "pages"), work_folder(spark, "warc"))
+    return warc.read_archives(files).select(
+        warc.page_of("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.page_of("refers_to").alias("refers_to"),
+        "problem",
+    )
+
+
+def op4_wu_manber(spark, folder):
+    find = wu_manber.finder(table(spark, folder, "benchmark"))
+    hits = F.aggregate("found.spans", F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["first"]))
+    rows = table(spark, folder, "documents").select("doc_id", find("text").alias("found"))
+    return rows.select(
+        "doc_id",
+        F.col("found.n_words").alias("n_words"),
+        hits.alias("n_hit"),
+        F.size("found.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("found.items", ",").cast("binary"), 256).alias("items_sha256"),
+        (hits > 0).alias("contaminated"),
+    )
+
+
 def op7_url_ratio(spark, folder):
     return url_filter.judge_urls(table(spark, folder, "pages"), URL_RULES)
 
@@ -24,8 +54,23 @@ def op8_hash_ring(spark, folder):
     )
 
 
+def op9_pieces(spark, folder):
+    model = pieces.read_model(public_tokenizers.path(PIECE_MODEL))
+    rows = table(spark, folder, "documents").select("doc_id", pieces.encoder(model)("text").alias("ids"))
+    rows = rows.withColumn("decoded", pieces.decoder(model)("ids"))
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
+    "op2_warc_zstd": op2_warc_zstd,
+    "op4_wu_manber": op4_wu_manber,
     "op7_url_ratio": op7_url_ratio,
     "op8_hash_ring": op8_hash_ring,
+    "op9_pieces": op9_pieces,
 }
 ORACLE_SQL = {}
