@@ -3,15 +3,16 @@
 If no piece of a model holds a white space marker after another character, a piece cannot
 cross from one marked word into the next. A text is then the sequence of its chunks (markers
 and the characters up to the next marker), and the ids of the text are the ids of its chunks
-in order. Each task keeps a table chunk -> ids: a new chunk is segmented once by the library,
-all its occurrences are joined by position. The table is emptied once it holds `TABLE_BYTES`,
-which costs time only. Models that break the condition are encoded text by text.
+in order. Each worker keeps a table chunk -> ids: a new chunk is segmented once by the library,
+all its occurrences are joined by position. The table is emptied once it holds `TABLE_ROWS`
+chunks or `TABLE_BYTES` bytes, which costs time only. Models that break the condition are encoded text by text.
 
 Null and empty texts have no ids; no ids decode to the empty text. Ids are int. Nothing is
 shuffled, and texts of any length are encoded whole.
 """
 
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -20,7 +21,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 MARKER = "▁"
-TABLE_BYTES = 64 << 20
+TABLE_ROWS, TABLE_BYTES = 700_000, 160 << 20
 # Characters that a changing normaliser would touch.
 PROBE = "ﬁ ① Ａ   x́ \t\n  y "
 
@@ -51,10 +52,10 @@ class Chunks:
         new = [c for c in dict.fromkeys(chunks) if c not in self.table]
         # The library puts one marker in front of what it encodes.
         for chunk, ids in zip(new, self.model.encode([c[1:] for c in new], num_threads=1)):
-            self.table[chunk] = coded = np.array(ids, np.int32).tobytes()
-            self.held += 3 * len(chunk) + len(coded) + 200
+            self.table[chunk] = coded = array("i", ids).tobytes()
+            self.held += 3 * len(chunk) + len(coded) + 150
         coded = b"".join(map(self.table.__getitem__, chunks))
-        if self.held > TABLE_BYTES:
+        if self.held > TABLE_BYTES or len(self.table) > TABLE_ROWS:
             self.clear()
         return coded
 
@@ -71,10 +72,9 @@ class Chunks:
 
     def decode_all(self, lists):
         """Arrow array of id lists to an Arrow array of texts."""
-        texts, ids = [], lists.flatten().tolist()
-        at = 0
+        texts, ids, at = [], lists.flatten().to_numpy(zero_copy_only=False), 0
         for n in lists.value_lengths().fill_null(0).tolist():
-            texts.append(self.model.decode(ids[at : at + n]) if n else "")
+            texts.append(self.model.decode(ids[at : at + n].tolist()) if n else "")
             at += n
         return pa.array(texts, pa.string())
 

@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import pieces, sharding, url_filter, warc, wu_manber
+from tidemark.llm import pieces, sharding, toxicity, url_filter, warc, wu_manber
 from tidemark.session import work_folder
 from tidemark.sources import table
 
@@ -43,6 +43,14 @@ def op4_wu_manber(spark, folder):
     )
 
 
+def op6_zstd_distance(spark, folder):
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    bucket = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5))
+    model = toxicity.fit(*toxicity.labelled_sample(docs, labels.filter(bucket != 0)))
+    rows = docs.select("doc_id", (bucket == 0).alias("held_out"), toxicity.scorer(model)("text").alias("score"))
+    return rows.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op7_url_ratio(spark, folder):
     return url_filter.judge_urls(table(spark, folder, "pages"), URL_RULES)
 
@@ -69,6 +77,7 @@ def op9_pieces(spark, folder):
 QUERIES = {
     "op2_warc_zstd": op2_warc_zstd,
     "op4_wu_manber": op4_wu_manber,
+    "op6_zstd_distance": op6_zstd_distance,
     "op7_url_ratio": op7_url_ratio,
     "op8_hash_ring": op8_hash_ring,
     "op9_pieces": op9_pieces,

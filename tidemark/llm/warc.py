@@ -37,7 +37,7 @@ from tidemark.session import work_folder
 
 MIN_REVISIT = 100
 FILE_BYTES = 64 << 20
-# The dictionary is trained on at most this many payloads of at most this many bytes each.
+# The dictionary is trained on about this many payloads (twice as many at most) of at most this many bytes each.
 SAMPLES, SAMPLE_BYTES, DICTIONARY_BYTES = 400, 16 << 10, 64 << 10
 # Fixed values of the formats.
 SKIPPABLE_MAGIC, FRAME_MAGIC, DICTIONARY_MAGIC = 0x184D2A5D, 0xFD2FB528, 0xEC30A437
@@ -223,12 +223,9 @@ def mark_revisits(pages, id_col, payload_col):
 def write_archives(pages, folder, id_col="page_id", url_col="url", payload_col="html"):
     """Write all pages below a folder of the shared file system; returns one row per file (path, records, bytes)."""
     pages = pages.select(F.col(id_col).alias("page"), F.col(url_col).alias("url"), F.col(payload_col).alias("payload"))
-    sample = (
-        pages.filter(F.octet_length("payload").between(1, SAMPLE_BYTES))
-        .orderBy(F.xxhash64("page"), "page")
-        .limit(SAMPLES)
-        .select("payload")
-    )
+    usable = pages.filter(F.octet_length("payload").between(1, SAMPLE_BYTES))
+    keep = max(1, pages.select("page").count() // SAMPLES)
+    sample = usable.filter(F.pmod(F.xxhash64("page"), F.lit(keep)) == 0).select("payload").limit(2 * SAMPLES)
     dictionary = train_dictionary([row.payload.encode("utf-8", "surrogatepass") for row in sample.collect()])
     rows = mark_revisits(pages, "page", "payload")
 
@@ -289,7 +286,7 @@ def read_archives(files, path_col="path"):
                     yield _batch(rows)
 
     paths = files.select(F.col(path_col).alias("path"))
-    return paths.repartition("path").mapInArrow(read, RECORD)
+    return paths.repartition(max(1, paths.count()), "path").mapInArrow(read, RECORD)
 
 
 ARROW = pa.schema([(f.name, {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}[f.dataType.typeName()]) for f in RECORD])
