@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import pieces, sharding, toxicity, url_filter, warc, wu_manber
+from tidemark.llm import kneser_ney, pieces, sharding, toxicity, url_filter, warc, wu_manber
 from tidemark.session import work_folder
 from tidemark.sources import table
 
@@ -74,6 +74,22 @@ def op9_pieces(spark, folder):
     )
 
 
+def op10_kneser_ney(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(10)) == 0
+    model = kneser_ney.train(docs.filter(F.coalesce(~held_out, F.lit(True))))
+    rows = docs.select("doc_id", held_out.alias("held_out"), kneser_ney.scorer(model)("text").alias("s"))
+    return rows.select(
+        "doc_id",
+        "held_out",
+        "s.n_tokens",
+        "s.n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "s.base_score",
+        "s.score",
+    )
+
+
 QUERIES = {
     "op2_warc_zstd": op2_warc_zstd,
     "op4_wu_manber": op4_wu_manber,
@@ -81,5 +97,6 @@ QUERIES = {
     "op7_url_ratio": op7_url_ratio,
     "op8_hash_ring": op8_hash_ring,
     "op9_pieces": op9_pieces,
+    "op10_kneser_ney": op10_kneser_ney,
 }
 ORACLE_SQL = {}

@@ -5,7 +5,8 @@ chosen by the hash of their id). On one part, words are ranked by how much more
 one class hold them; the two dictionaries are made of the `size` most telling words of each class,
 the most telling last, where zstandard reaches them cheapest. On the other part, the compression
 lengths are calibrated: a logistic model on the largest, the mean of the three largest and the mean
-difference gives the score, and `size` is the one with the smallest loss.
+difference and on the shares of windows beyond two thresholds gives the score, and `size` is the
+one with the smallest loss.
 
 Scoring compresses every window of a text with both dictionaries. A window is `WINDOW` words between
 two fixed runs of bytes that both dictionaries know, since the format finds no match in the last
@@ -27,7 +28,9 @@ import zstandard
 from pyspark.sql import functions as F
 
 SAMPLE_ROWS, SAMPLE_BYTES = 4000, 32 << 10
-SIZES = (8, 16, 32, 64, 128)
+SIZES = (8, 16, 32, 64, 96, 128)
+NEAR_TOXIC, NEAR_ORDINARY = 6, -4
+FEATURES = 5
 WINDOW = 1
 TABLE_ROWS = 400_000
 HEAD, TAIL = b"0123456789abcdefghijklmnopqrstuv", b"ABCDEFGHIJKLMNOP"
@@ -70,11 +73,11 @@ class Lengths:
         return len(ordinary(text)) - len(toxic(text))
 
     def of_text(self, text):
-        """Largest, mean of the three largest, and mean difference."""
+        """Largest, mean of the three largest and mean difference, shares of windows near either side."""
         words, size, table = words_of(text), self.window, self.table
         windows = words if size == 1 else [tuple(words[i : i + size]) for i in range(0, len(words), size)]
         if not windows:
-            return 0.0, 0.0, 0.0
+            return (0.0,) * FEATURES
         for window in set(windows):
             if window not in table:
                 table[window] = self.difference((window,) if size == 1 else window)
@@ -82,7 +85,7 @@ class Lengths:
         if len(table) > TABLE_ROWS:
             table.clear()
         top = np.partition(found, -3)[-3:] if len(found) > 3 else found
-        return float(top.max()), float(top.mean()), float(found.mean())
+        return top.max(), top.mean(), found.mean(), 10 * (found >= NEAR_TOXIC).mean(), (found <= NEAR_ORDINARY).mean()
 
 
 def telling_words(texts, labels, most):
@@ -123,7 +126,7 @@ def fit(texts, labels, sizes=SIZES, window=WINDOW):
     check = ~learn
     if min(np.bincount(labels[learn], minlength=2)) == 0 or min(np.bincount(labels[check], minlength=2)) == 0:
         share = (labels.sum() + 0.5) / (len(labels) + 1)
-        return [], [], [0.0, 0.0, 0.0, float(np.log(share / (1 - share)))], window
+        return [], [], [0.0] * FEATURES + [float(np.log(share / (1 - share)))], window
     pick = lambda flags: [t for t, f in zip(texts, flags) if f]
     toxic, ordinary = telling_words(pick(learn), labels[learn], max(sizes))
     best = None
@@ -164,7 +167,7 @@ def scorer(model):
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
         lengths = _worker(ordinary, toxic, window)
-        x = np.array([lengths.of_text(text) for text in texts]).reshape(-1, 3)
-        return pd.Series(1 / (1 + np.exp(-(x @ weights[:3] + weights[3]))))
+        x = np.array([lengths.of_text(text) for text in texts], float).reshape(-1, FEATURES)
+        return pd.Series(1 / (1 + np.exp(-(x @ weights[:-1] + weights[-1]))))
 
     return score
