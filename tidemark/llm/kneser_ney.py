@@ -25,15 +25,13 @@ end and one unknown word. Repeated rows count each time. Other columns are ignor
 """
 
 import math
-import uuid
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import functions as F
 
 from tidemark.llm import words as W
+from tidemark.llm.arrays import leading_bits, load, save
 from tidemark.session import work_folder
 
 START = np.uint64(0x57A2757A2757A275)
@@ -59,12 +57,6 @@ def sequence(text):
     return np.concatenate(([START], W.text_words(text), [W.END]))
 
 
-def leading_bits(hashes, buckets):
-    """Bucket of each hash; `buckets` is a power of two."""
-    bits = buckets.bit_length() - 1
-    return (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
-
-
 def pair_bucket(first, pairs, frequent, buckets):
     """Bucket of each pair: by its first word, or by itself if that is frequent."""
     return leading_bits(np.where(np.isin(first, frequent), pairs, first), buckets)
@@ -147,14 +139,9 @@ def _columns(group, fields):
 
 def _written(folder, kind, bucket, arrays, sums):
     """Row that names a new file with the arrays, each padded to 8 bytes."""
-    target, place = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
-    target.create_dir(place)
-    name = f"{'pairs' if kind == PAIR else 'words'}-{bucket}-{uuid.uuid4().hex}"
-    with target.open_output_stream(f"{place}/{name}") as out:
-        for (_, kind_of), array in zip(COLUMNS[kind], arrays):
-            data = array.astype(kind_of).tobytes()
-            out.write(data + bytes(-len(data) % 8))
-    return {"kind": kind, "bucket": bucket, "data": None, "path": f"{folder}/{name}", "sums": [len(arrays[0]), *map(int, sums)]}
+    name = f"{'pairs' if kind == PAIR else 'words'}-{bucket}"
+    path = save(folder, name, [array.astype(kind_of) for (_, kind_of), array in zip(COLUMNS[kind], arrays)])
+    return {"kind": kind, "bucket": bucket, "data": None, "path": path, "sums": [len(arrays[0]), *map(int, sums)]}
 
 
 def _pair_merger(folder, buckets):
@@ -242,7 +229,8 @@ class Model:
             if (kind, int(b)) not in self.paths:
                 continue
             at = order[start:end]
-            columns = _mapped(kind, *self.paths[kind, int(b)])
+            path, rows = self.paths[kind, int(b)]
+            columns = load(path, tuple(t for _, t in fields), rows)
             place = np.minimum(np.searchsorted(columns[0], hashes[at]), len(columns[0]) - 1)
             hit = columns[0][place] == hashes[at]
             for out, column in zip(found, columns[1:]):
@@ -277,23 +265,6 @@ class Model:
         return np.diff(np.append(starts, ends[-1])), add((n[w] > 0).astype(np.int64)), add(base), add(np.log10(p))
 
 
-@lru_cache(maxsize=4096)
-def _mapped(kind, path, rows):
-    """Columns of a file: mapped where it is local or mounted, read otherwise."""
-    source, place = fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
-    if isinstance(source, fs.LocalFileSystem):
-        data = np.memmap(place, np.uint8, "r")
-    else:
-        with source.open_input_stream(place) as file:
-            data = np.frombuffer(file.read(), np.uint8)
-    columns, at = [], 0
-    for _, kind_of in COLUMNS[kind]:
-        size = rows * np.dtype(kind_of).itemsize
-        columns.append(data[at : at + size].view(kind_of))
-        at += size + -size % 8
-    return columns
-
-
 def frequent_words(texts, buckets):
     """Words that hold more than a quarter of a bucket's share of a sample: at most 4 * buckets."""
 

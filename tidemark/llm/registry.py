@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import kneser_ney, pieces, sharding, toxicity, url_filter, warc, wu_manber
+from tidemark.llm import kneser_ney, near_dup, pieces, sharding, toxicity, url_filter, warc, wu_manber
 from tidemark.session import work_folder
 from tidemark.sources import table
 
@@ -43,6 +43,10 @@ def op4_wu_manber(spark, folder):
     )
 
 
+def op5_bottom_k(spark, folder):
+    return near_dup.near_duplicates(table(spark, folder, "documents"), size=2)
+
+
 def op6_zstd_distance(spark, folder):
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     bucket = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5))
@@ -93,6 +97,7 @@ def op10_kneser_ney(spark, folder):
 QUERIES = {
     "op2_warc_zstd": op2_warc_zstd,
     "op4_wu_manber": op4_wu_manber,
+    "op5_bottom_k": op5_bottom_k,
     "op6_zstd_distance": op6_zstd_distance,
     "op7_url_ratio": op7_url_ratio,
     "op8_hash_ring": op8_hash_ring,
