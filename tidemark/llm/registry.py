@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import kneser_ney, near_dup, pieces, sharding, toxicity, url_filter, warc, wu_manber
+from tidemark.llm import kneser_ney, multiprobe, near_dup, pieces, secrets, sharding, toxicity, url_filter, warc, wu_manber
 from tidemark.session import work_folder
 from tidemark.sources import table
 
@@ -17,6 +17,11 @@ URL_RULES = [
 ]
 
 
+def op1_multiprobe(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    return multiprobe.search(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
 def op2_warc_zstd(spark, folder):
     files = warc.write_archives(table(spark, folder, "pages"), work_folder(spark, "warc"))
     return warc.read_archives(files).select(
@@ -29,6 +34,21 @@ def op2_warc_zstd(spark, folder):
     )
 
 
+def op3_forest_secrets(spark, folder):
+    docs = table(spark, folder, "documents")
+    bucket = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5))
+    learned = docs.filter(bucket != 0)
+    model = secrets.train(learned, secrets.silver_findings(learned))
+    rows = docs.select("doc_id", secrets.scanner(model)("text").alias("found"))
+    found = F.filter("found", lambda x: x["probability"] >= 0.5)
+    return rows.select(
+        "doc_id",
+        F.size("found").cast("long").alias("n_candidates"),
+        F.size(found).cast("long").alias("n_secrets"),
+        found.alias("secrets"),
+    )
+
+
 def op4_wu_manber(spark, folder):
     find = wu_manber.finder(table(spark, folder, "benchmark"))
     hits = F.aggregate("found.spans", F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["first"]))
@@ -95,7 +115,9 @@ def op10_kneser_ney(spark, folder):
 
 
 QUERIES = {
+    "op1_multiprobe": op1_multiprobe,
     "op2_warc_zstd": op2_warc_zstd,
+    "op3_forest_secrets": op3_forest_secrets,
     "op4_wu_manber": op4_wu_manber,
     "op5_bottom_k": op5_bottom_k,
     "op6_zstd_distance": op6_zstd_distance,
