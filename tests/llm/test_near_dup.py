@@ -1,0 +1,97 @@
+import random
+
+import numpy as np
+import pytest
+from helpers import AWKWARD, docs, words
+
+from tidemark.llm import near_dup as N
+from tidemark.llm import words as W
+
+
+def plain(rows, size):
+    """id -> (set size, smallest reachable id) by comparing all pairs."""
+    sets = {}
+    for key, text in rows:
+        w = words(text)
+        sets[key] = frozenset(tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))) if w else frozenset()
+    keys, up = sorted(sets), {k: k for k in sets}
+
+    def top(x):
+        return x if up[x] == x else top(up[x])
+
+    for i, a in enumerate(keys):
+        for b in keys[:i]:
+            if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = top(a), top(b)
+                up[max(x, y)] = min(x, y)
+    return {k: (len(sets[k]), top(k), top(k) == k) for k in keys}
+
+
+def found(spark, rows, size, **options):
+    result = N.near_duplicates(docs(spark, rows, extra=["class", "value", "label"]), size, **options).collect()
+    assert len(result) == len(rows)
+    return {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in result}
+
+
+def families(seed, n, most_edits):
+    """Bases, copies of them with some words changed, and parts that all share."""
+    random.seed(seed)
+    vocabulary = [f"w{i}" for i in range(400)]
+    shared = [random.choice(vocabulary) for _ in range(60)]
+    rows, bases = [], []
+    for i in range(n):
+        if i % 5 == 0:
+            bases.append(random.choices(vocabulary, k=random.choice([3, 8, 30, 120, 400])) + shared * (i % 2))
+        text = list(random.choice(bases))
+        for _ in range(random.randrange(most_edits)):
+            text[random.randrange(len(text))] = random.choice(vocabulary)
+        rows.append((i, " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("seed, size, edits", [(1, 2, 12), (2, 5, 4), (3, 1, 25)])
+def test_groups_match_all_pairs(spark, seed, size, edits):
+    rows = families(seed, 160, edits)
+    assert found(spark, rows, size) == plain(rows, size)
+
+
+def test_blocks_of_families(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK_MEMBERS", 7)
+    monkeypatch.setattr(N, "SHORT", 2)
+    rows = families(4, 120, 9)
+    assert found(spark, rows, 2) == plain(rows, 2)
+
+
+def test_awkward_rows(spark):
+    result = N.near_duplicates(docs(spark, AWKWARD, extra=["n", "sketch"]), 2).collect()
+    assert len(result) == len(AWKWARD)
+    assert [tuple(r) for r in result if r.doc_id is None] == [(None, 2, None, True)]
+    by_id = {r.doc_id: tuple(r)[1:] for r in result}
+    expected = plain([row for row in AWKWARD if row[0] is not None], 2)
+    assert {k: v for k, v in by_id.items() if k is not None} == expected
+    assert by_id[2] == (0, 2, True) and by_id[4] == (1, 4, True) and by_id[8][1] == 6
+
+
+def test_exact_bound(spark):
+    """Four of five shingles of both (80 %) link; one less does not."""
+    base = [f"a{i}" for i in range(9)]
+    rows = [(1, " ".join(base)), (2, " ".join(base[:8] + ["z"])), (3, " ".join(base[:7] + ["y"]))]
+    assert found(spark, rows, 1) == plain(rows, 1)
+    assert found(spark, rows, 1)[2][1] == 1
+
+
+def test_empty(spark):
+    assert found(spark, [], 2) == {}
+
+
+def test_shingles():
+    assert len(W.shingles(W.text_words("a b a b a"), 2)) == 2
+    assert len(W.shingles(W.text_words("A"), 2)) == 1 and len(W.shingles(W.text_words(" \n"), 2)) == 0
+    assert W.text_words("Ab\tC d").tolist() == W.text_words("aB \n c d").tolist()
+    assert W.text_words("ÄB")[0] != W.text_words("äb")[0]
+
+
+def test_words_do_not_collide():
+    random.seed(1)
+    texts = {"".join(random.choices("abcé日 ", k=random.randrange(1, 9))).replace(" ", "x") for _ in range(5000)}
+    assert len(np.unique(W.text_words(" ".join(texts)))) == len(texts)

@@ -6,14 +6,16 @@ the start. For the classes:
 
 1. Inverted lists of retained values. Two sets with similarity 0.8 share at least `NEEDED` of `K`
    retained values but for a chance of about 1e-8, so a class is listed only under the
-   `K - NEEDED + 1` rarest values that it retains; sets that the sketch holds whole are listed
-   under as many as their size demands, which is exact. Rarity is counted over all classes, and
-   values that one class retains make no list. Sizes must lie within a factor of 0.8, so lists
-   are kept per size class.
-2. Families. All lists with the same smallest member are one family: two classes that share a list
-   share a family. Full sets are fetched for members of families only. A family beyond
-   `BLOCK_MEMBERS` members or `BLOCK_VALUES` values is cut into blocks, and each pair of blocks
-   is a piece of work of its own, so no task holds more than two blocks.
+   `K - NEEDED + SHARED` rarest values that it retains, and two such sets meet in at least `SHARED`
+   lists; sets that the sketch holds whole are listed under as many as their size demands, which
+   is exact. Rarity is counted over all classes, and values that one class retains make no list.
+   Sizes must lie within a factor of 0.8, so lists are kept per size class.
+2. Families. Lists of at most `SHORT` members give overlaps: pairs that meet in `SHARED` of them are
+   candidates, in the family of the smaller one. All longer lists with the same smallest member
+   are one family, with no pairs made. A pair that is similar meets in a longer list or in enough
+   short ones, so it shares a family. Full sets are fetched for members of families only. A family
+   beyond `BLOCK_MEMBERS` members or `BLOCK_VALUES` values is cut into blocks, and each pair of
+   blocks is a piece of work of its own, so no task holds more than two blocks.
 3. In a piece of work all members are compared with the family's first member exactly. Those linked
    to it need no comparison among themselves; every other member is compared with all: estimation
    on the union of two sketches filters, exact similarity on the full sets decides. Only links
@@ -43,6 +45,7 @@ K = 128
 NEEDED = 77
 PERCENT = 80
 LEAST_ESTIMATE = 0.8 - 5.5 * 0.0354
+SHARED, SHORT = 3, 8
 BLOCK_MEMBERS, BLOCK_VALUES = 2048, 1_000_000
 BASE = "id long, n int, class long, sketch binary"
 SETS = "class long, n int, values binary"
@@ -248,14 +251,28 @@ def near_duplicates(docs, size, id_col="doc_id", text_col="text", percent=PERCEN
         values.join(counts, "value")
         .withColumns({"rank": F.row_number().over(by_rarity), "shared": F.count("*").over(Window.partitionBy("class"))})
         # Values of no other class come first in the order.
-        .filter(F.col("rank") + F.col("k") - F.col("shared") <= F.col("k") - must + 1)
+        .filter(F.col("rank") + F.col("k") - F.col("shared") <= F.col("k") - must + F.least(must, F.lit(SHARED)))
         # Sizes within a factor of `percent` are in the same or in neighbouring steps, rounding included.
         .withColumn("step", F.floor(F.log(F.col("n").cast("double")) / math.log(100.1 / percent)))
-        .select("class", "n", "value", F.explode(F.array(F.col("step"), F.col("step") + 1)).alias("step"))
+        .select("class", "n", "value", F.col("step").alias("own"), F.explode(F.array(F.col("step"), F.col("step") + 1)).alias("step"))
     )
     listed = _kept(listed, "lists")
     leaders = listed.groupBy("value", "step").agg(F.min("class").alias("leader"), F.count("*").alias("m")).filter("m > 1")
-    members = listed.join(leaders.drop("m"), ["value", "step"]).select("leader", "class", "n").distinct()
+    listed = _kept(listed.join(leaders, ["value", "step"]), "long-lists")
+    longer = listed.filter(F.col("m") > SHORT).select("leader", "class", "n")
+    # At most SHORT members each; a pair is made in the list of its larger size class only.
+    short = listed.filter(F.col("m") <= SHORT).groupBy("value", "step")
+    short = short.agg(F.array_sort(F.collect_list(F.struct("class", "n", "own"))).alias("x"))
+    later = lambda a, i: F.transform(F.slice("x", i + 2, SHORT), lambda b: F.struct(a.alias("a"), b.alias("b")))
+    pairs = short.select("step", F.explode(F.flatten(F.transform("x", later))).alias("p"))
+    pairs = pairs.filter(F.greatest("p.a.own", "p.b.own") == F.col("step")).filter(
+        F.least("p.a.n", "p.b.n") * 100 >= F.greatest("p.a.n", "p.b.n") * percent
+    )
+    met = pairs.groupBy(*[F.col(f"p.{side}.{c}").alias(f"{c}_{side}") for side in "ab" for c in ("class", "n")]).agg(F.count("*").alias("met"))
+    met = met.filter(F.col("met") >= F.least(F.ceil(F.least("n_a", "n_b") * percent / 100), F.lit(SHARED)))
+    first = met.select(F.col("class_a").alias("leader"), F.col("class_a").alias("class"), F.col("n_a").alias("n"))
+    second = met.select(F.col("class_a").alias("leader"), F.col("class_b").alias("class"), F.col("n_b").alias("n"))
+    members = longer.union(first).union(second).distinct()
     members = _kept(members, "families")
     weight = F.greatest(F.ceil(F.count("*") / BLOCK_MEMBERS), F.ceil(F.sum("n") / BLOCK_VALUES))
     blocks = members.groupBy("leader").agg(weight.cast("int").alias("blocks"))
@@ -268,10 +285,10 @@ def near_duplicates(docs, size, id_col="doc_id", text_col="text", percent=PERCEN
     lead = lead.select("leader", "i", F.explode(F.sequence(F.col("i"), F.col("blocks") - 1)).alias("j"), F.col("leader").alias("class"))
     work = work.union(lead).distinct()
 
-    # Full sets of the members of families, made again from one text of each class.
+    # Full sets of the members of families, made again from one text of each class; equal rows give one twice.
     wanted = members.select("class").distinct().join(classes, "class").select("class", "first").mapInArrow(_marked, "mark long")
     wanted = HashSet(_kept(wanted, "marks"), "mark")
-    sets = _kept(rows.mapInArrow(_whole_sets(size, wanted), SETS).dropDuplicates(["class"]), "sets")
+    sets = _kept(rows.mapInArrow(_whole_sets(size, wanted), SETS), "sets")
     pieces = work.join(sets, "class").select("leader", "i", "j", "class", "values")
     pieces = pieces.repartition("leader", "i", "j").sortWithinPartitions("leader", "i", "j")
     links = _kept(pieces.mapInArrow(_linker(k, least, percent), LINKS), "links")
