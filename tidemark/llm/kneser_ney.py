@@ -253,8 +253,7 @@ class Model:
         count = count[pair_place]
 
         cut = lambda c, d: np.where(c > 0, c - np.array([0.0, *d])[np.minimum(c, 3).astype(int)], 0.0)
-        lower = self.word_rest / (self.vocabulary + 1) + (cut(before, self.word_discounts) / self.pairs if self.pairs else 0.0)
-        lower = lower[w]
+        lower = (self.word_rest / (self.vocabulary + 1) + cut(before, self.word_discounts) / max(1, self.pairs))[w]
         d1, d2, d3 = self.pair_discounts
         seen = n[v] > 0
         rest = d1 * n1[v] + d2 * n2[v] + d3 * n3[v]

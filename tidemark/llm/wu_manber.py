@@ -12,7 +12,7 @@ nothing but file names passes through the driver.
 
 Null texts and texts without words have no words and no hits. Null and repeated items: an item
 without text or words has no windows, items with equal windows are all counted, an item id
-that occurs twice counts once. An empty benchmark hits nothing. Other columns are ignored.
+that occurs twice counts once, and items without id count as one with an empty id. An empty benchmark hits nothing. Other columns are ignored.
 """
 
 import pickle
@@ -115,7 +115,7 @@ def write_windows(benchmark, id_col="item_id", text_col="text", size=WINDOW, chu
     """
     spark = benchmark.sparkSession
     folder = work_folder(spark, "windows")
-    items = benchmark.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("text"))
+    items = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item"), F.col(text_col).alias("text"))
 
     @F.arrow_udf("array<binary>")
     def windows(texts: pa.Array) -> pa.Array:
