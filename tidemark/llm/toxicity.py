@@ -4,9 +4,9 @@ Training takes a bounded sample of labelled rows (`SAMPLE_ROWS` rows of at most
 chosen by the hash of their id). On one part, words are ranked by how much more often documents of
 one class hold them; the two dictionaries are made of the `size` most telling words of each class,
 the most telling last, where zstandard reaches them cheapest. On the other part, the compression
-lengths are calibrated: a logistic model on the largest, the mean of the three largest and the mean
-difference and on the shares of windows beyond two thresholds gives the score, and `size` is the
-one with the smallest loss.
+lengths are calibrated: a logistic model on the largest and mean differences, as they are and per
+byte of the window, and on the windows beyond thresholds gives the score, and `size` is the one
+with the smallest loss.
 
 Scoring compresses every window of a text with both dictionaries. A window is `WINDOW` words between
 two fixed runs of bytes that both dictionaries know, since the format finds no match in the last
@@ -29,8 +29,11 @@ from pyspark.sql import functions as F
 
 SAMPLE_ROWS, SAMPLE_BYTES = 4000, 32 << 10
 SIZES = (8, 16, 32, 64, 96, 128)
-NEAR_TOXIC, NEAR_ORDINARY = 6, -4
-FEATURES = 5
+# Words of the toxic dictionary differ between the classes by at least this many standard errors.
+LEAST_Z = 3.0
+# Thresholds of a window: bytes towards either side, and bytes saved per byte of the window.
+NEAR_TOXIC, NEAR_ORDINARY, WHOLE = 6, -4, 1.0
+FEATURES = 9
 WINDOW = 1
 TABLE_ROWS = 400_000
 HEAD, TAIL = b"0123456789abcdefghijklmnopqrstuv", b"ABCDEFGHIJKLMNOP"
@@ -73,7 +76,7 @@ class Lengths:
         return len(ordinary(text)) - len(toxic(text))
 
     def of_text(self, text):
-        """Largest, mean of the three largest and mean difference, shares of windows near either side."""
+        """Numbers on the differences of all windows of a text."""
         words, size, table = words_of(text), self.window, self.table
         windows = words if size == 1 else [tuple(words[i : i + size]) for i in range(0, len(words), size)]
         if not windows:
@@ -84,8 +87,21 @@ class Lengths:
         found = np.fromiter(map(table.__getitem__, windows), np.int64, len(windows))
         if len(table) > TABLE_ROWS:
             table.clear()
+        bytes_of = map(len, windows) if size == 1 else (len(b"  ".join(w)) for w in windows)
+        saved = found / np.fromiter(bytes_of, np.int64, len(windows))
         top = np.partition(found, -3)[-3:] if len(found) > 3 else found
-        return top.max(), top.mean(), found.mean(), 10 * (found >= NEAR_TOXIC).mean(), (found <= NEAR_ORDINARY).mean()
+        whole = saved >= WHOLE
+        return (
+            top.max(),
+            top.mean(),
+            found.mean(),
+            10 * (found >= NEAR_TOXIC).mean(),
+            (found <= NEAR_ORDINARY).mean(),
+            float(whole.any()),
+            10 * whole.mean(),
+            np.log1p(whole.sum()),
+            saved.mean(),
+        )
 
 
 def telling_words(texts, labels, most):
@@ -100,7 +116,7 @@ def telling_words(texts, labels, most):
     pooled = (seen.sum(axis=1) + 0.5) / (totals.sum() + 1)
     z = (shares[:, 1] - shares[:, 0]) / np.sqrt(pooled * (1 - pooled) * (1 / totals).sum() + 1e-12)
     order = np.argsort(z, kind="stable")
-    return [words[i] for i in order[-most:]], [words[i] for i in order[:most][::-1]]
+    return [words[i] for i in order[-most:] if z[i] >= LEAST_Z], [words[i] for i in order[:most][::-1]]
 
 
 def fit_logistic(x, y, ridge=1e-2, steps=50):
