@@ -5,7 +5,7 @@ from collections import Counter
 
 import duckdb
 
-TABLES = "region nation customer supplier part orders lineitem events conversations".split()
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
 def connect(folder):

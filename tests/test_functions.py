@@ -22,6 +22,17 @@ def test_to_long(spark):
     assert values(spark, C.to_long("x"), "12", "x", "", None, "-3", "9" * 30) == [12, None, None, None, -3, None]
 
 
+def test_to_long_cuts_decimals_like_the_lenient_cast(spark):
+    texts = ["12.7", "-3.9", "5.", ".5", " 7 ", "1e3", "9" * 30, "", ".", "-.5", "+4.2", "1.2.3", "..5", "-", "12.x", "0.9 ", "a.5"]
+    got = values(spark, C.to_long("x"), *texts)
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert got == values(spark, F.col("x").cast("long"), *texts)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
 def test_ratio(spark):
     frame = spark.createDataFrame([(3, 2), (1, 0), (None, 1), (0, 5)], "a long, b long")
     assert [r[0] for r in frame.select(C.ratio("a", "b")).collect()] == [1.5, None, None, 0.0]

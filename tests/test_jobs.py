@@ -37,7 +37,7 @@ def test_profile(spark, tmp_path, capsys):
     frame = sources.transactions(spark, "/root/testdata/sf0.001")
     sources.write_csv(frame, str(tmp_path / "t"))
     jobs.main(["profile", "--transactions", str(tmp_path / "t")])
-    assert f"Number rows: {frame.count()}" in capsys.readouterr().out
+    assert f"{frame.count():,} rows in total" in capsys.readouterr().out
 
 
 def test_message_jobs_reach_the_connector(spark, tmp_path):

@@ -96,11 +96,24 @@ def test_nest_splits_a_hot_group_and_loses_nothing(spark):
     cold = [(f"k{i % 100}", i) for i in range(500)]
     frame = spark.createDataFrame(hot + cold, "k string, v int")
     parts = O.nest(frame, ["k"], F.col("v"), "vs", max_items=100).collect()
-    assert max(len(r.vs) for r in parts) < 400
-    assert len([r for r in parts if r.k == "hot"]) > 10
-    assert all(r.part == 0 for r in parts if r.k != "hot")
-    assert all(r.vs == sorted(r.vs) for r in parts)
-    assert Counter((r.k, v) for r in parts for v in r.vs) == Counter(hot + cold)
+    for key in {k for k, _ in hot + cold}:
+        whole = sorted(v for k, v in hot + cold if k == key)
+        pages = {r.part: r.vs for r in parts if r.k == key}
+        assert pages == {p: whole[p * 100 : p * 100 + 100] for p in range(-(-len(whole) // 100))}
+
+
+@pytest.mark.parametrize("n", [9, 10, 11, 20, 21])
+def test_nest_pages_around_the_limit(spark, n):
+    frame = spark.createDataFrame([("a", i) for i in range(n)] + [("a", None)], "k string, v int").repartition(5)
+    pages = {r.part: r.vs for r in O.nest(frame, ["k"], F.col("v"), "vs", max_items=10).collect()}
+    assert pages == {p: list(range(n))[p * 10 : p * 10 + 10] for p in range(-(-n // 10))}
+
+
+def test_nest_pages_of_one_repeated_value(spark):
+    frame = spark.createDataFrame([("a", 5, 400), ("a", 4, 3), ("a", 6, 2)], "k string, v int, n long")
+    pages = {r.part: r.vs for r in O.nest(frame, ["k"], F.col("v"), "vs", copies="n", max_items=10).collect()}
+    whole = [4] * 3 + [5] * 400 + [6] * 2
+    assert pages == {p: whole[p * 10 : p * 10 + 10] for p in range(41)}
 
 
 def test_nest_counts_copies(spark):

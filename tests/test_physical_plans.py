@@ -6,7 +6,8 @@ import pytest
 
 import __spark_entry__ as entry
 from tidemark import plans
-from tidemark.registry import pipelines
+from tidemark.registry import operators, pipelines
+from tidemark.session import DEFAULTS
 from tidemark.sources import videos, write_table
 
 FOLDER = "/root/testdata/sf0.001"
@@ -80,3 +81,45 @@ def test_sizes_decide_on_the_dimension_join(spark, table, titles):
 def test_best_snapshots_are_hash_aggregated(table):
     plan = physical(plans.top_channels(table))
     assert "HashAggregate" in plan and "Sort" not in plan.replace("orderBy", "")
+
+
+def test_texts_of_other_videos_are_not_aggregated(spark, table):
+    plan = physical(plans.top_trending_channel_videos(table))
+    texts = re.search(r"keys=\[video_id#\d+, title#\d+, description#\d+\], functions=\[partial_count", plan)
+    assert texts.start() < plan.index("LeftSemi")
+    totals = physical(plans.top_trending_channels(table))
+    assert len(schemas_read(totals)) == 1
+
+
+def test_large_rankings_are_cut_before_the_shuffle(spark, table):
+    key = "spark.sql.optimizer.windowGroupLimitThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, DEFAULTS[key])
+    try:
+        assert "WindowGroupLimit" in physical(plans.top_tags_monthly(table, n=5000))
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_hot_key_of_the_chained_join_is_split(spark, monkeypatch):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    rows = spark.range(40000).selectExpr("if(id % 10 < 9, 'hot', cast(id as string)) AS video_id", "id AS views", "id % 97 AS likes")
+    monkeypatch.setattr(operators, "typed_videos", lambda *_: rows.repartition(8))
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        frame = operators.join_using_left(spark, FOLDER)
+        frame.collect()
+        assert "skew=true" in physical(frame)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)

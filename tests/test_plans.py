@@ -232,7 +232,7 @@ def test_row_count_and_preview(typed, capsys):
     assert plans.row_count(frame).first().n_rows == 2
     assert plans.preview(frame, 1) == 2
     out = capsys.readouterr().out
-    assert "root" in out and "only showing top 1 row" in out and "Number rows: 2" in out
+    assert "root" in out and "only showing top 1 row" in out and "2 rows in total" in out
 
 
 def test_input_order_does_not_change_results(typed, titles):

@@ -63,15 +63,21 @@ def test_minute_files_with_a_late_message_and_restarts(spark, tmp_path):
     assert (first.created_at, first.text) == ("2017-10-31 10:00", 'a "b",\nc ')
 
 
+def test_minute_counts_keep_messages_without_a_time(spark):
+    frame = spark.createDataFrame([("2017-10-31 10:00:05",), ("soon",), (None,)], "created_at string")
+    got = Counter((str(r.minute), r.n_messages) for r in streaming.minute_counts(frame).collect())
+    assert got == Counter([("2017-10-31 10:00:00", 1), ("None", 2)])
+
+
 def test_minute_counts_batch_and_stream(spark, tmp_path):
     for i, time in enumerate(TIMES):
         write_message(spark, tmp_path / "topic", i, time)
     batch = streaming.decode_messages(spark.read.text(str(tmp_path / "topic")))
     expected = Counter(tuple(r) for r in streaming.minute_counts(batch).collect())
     assert sorted(n for _, n in expected) == [1, 1, 3]
-    stream = streaming.minute_counts(streaming.decode_messages(streaming.read_message_files(spark, str(tmp_path / "topic"))))
-    for mode, name in (("complete", "all_minutes"), ("append", "closed_minutes")):
-        stream.writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True).start().awaitTermination()
+    for mode, name, delay in (("complete", "all_minutes", None), ("append", "closed_minutes", "1 minute")):
+        messages = streaming.decode_messages(streaming.read_message_files(spark, str(tmp_path / "topic")))
+        streaming.minute_counts(messages, delay).writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True).start().awaitTermination()
     assert Counter(map(tuple, spark.table("all_minutes").collect())) == expected
     # Append mode holds back minutes that may still be open.
     closed = Counter(map(tuple, spark.table("closed_minutes").collect()))
@@ -94,6 +100,30 @@ def test_replay(spark, tmp_path):
     assert Counter(sent.collect()) == Counter(tweets.select("tweet_id", "text").collect())
 
 
+def test_replay_goes_on_after_a_stop(spark, tmp_path):
+    rows = [(f"{i:03}", "a", "True", "x", f'line "{i}",\nmore', None, None) for i in range(60)]
+    write_csv(spark.createDataFrame(rows, schemas.TWEETS_CSV).coalesce(1), str(tmp_path / "file"))
+
+    def start(paced):
+        tweets = read_tweets(spark, str(tmp_path / "file"))
+        sink = streaming.text_sink(str(tmp_path / "topic"))
+        return streaming.replay(spark, tweets, str(tmp_path / "progress"), sink, rows_per_step=10, paced=paced)
+
+    query = start(paced=True)
+    while not query.lastProgress:
+        query.awaitTermination(1)
+    query.stop()
+    sent = spark.read.text(str(tmp_path / "topic")).count()
+    assert 0 < sent < 60 and sent % 10 == 0
+    for _ in range(2):
+        start(paced=False).awaitTermination()
+    got = streaming.decode_messages(spark.read.text(str(tmp_path / "topic"))).select("tweet_id", "text")
+    assert Counter(map(tuple, got.collect())) == Counter((r[0], r[4]) for r in rows)
+    steps = [f.read_text() for f in sorted((tmp_path / "progress" / "steps").glob("part-*"))]
+    ids = [[line.split(",")[0] for line in step.split("\n")[1:] if line[:3].isdigit()] for step in steps]
+    assert sum(ids, []) == [r[0] for r in rows] and max(map(len, ids)) == 10
+
+
 def test_replay_pace(spark, tmp_path):
     tweets = spark.createDataFrame([("1", "a", "True", "x", "t", None, None)], schemas.TWEETS_CSV)
     streaming.split_for_replay(tweets, str(tmp_path / "steps"), 10)

@@ -17,7 +17,6 @@ TOP_CATEGORY_VIDEOS = 10
 
 # Messages
 TOPIC = "tweets"
-CONSUMER_GROUP = "tweet-consumer-group"
 SECONDS_BETWEEN_MESSAGES = 0.09
 MESSAGE_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 MINUTE_KEY_SUFFIX = "_00"

@@ -6,11 +6,16 @@ from pyspark.sql import functions as F
 
 from tidemark.fixed import TAG_QUOTE, TAG_SEPARATOR
 
+# A plain decimal that starts with its point, after blanks and a sign; digits after a point at the end.
+WITHOUT_WHOLE_PART = r"^([\x00-\x20]*[+-]?)(?=\.[0-9]*[\x00-\x20]*$)"
+DECIMALS = r"(?<=[0-9])\.[0-9]*(?=[\x00-\x20]*$)"
+
 
 def to_long(text):
-    """Text to long; null for text that is no whole number."""
+    """Text to long: decimal text is cut to its whole part, other text gives null."""
     text = F.col(text) if isinstance(text, str) else text
-    return text.try_cast("long")
+    whole = F.regexp_replace(text, WITHOUT_WHOLE_PART, "$10")
+    return F.regexp_replace(whole, DECIMALS, "").try_cast("long")
 
 
 def ratio(numerator, denominator):

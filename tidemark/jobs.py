@@ -5,7 +5,8 @@ import argparse
 from tidemark import plans, sources, streaming
 from tidemark.fixed import TOPIC
 from tidemark.plans import documents
-from tidemark.session import get_session, work_folder
+from tidemark.session import get_session, remove_work_folders, work_folder
+from tidemark.streaming.replay import ROWS_PER_STEP
 
 
 def analyses(spark, args):
@@ -26,7 +27,7 @@ def analyses(spark, args):
         if args.out:
             result.write.json(f"{args.out}/{name}")
         else:
-            print("=" * 12, name, "=" * 12)
+            print(f"\n{name.replace('_', ' ').capitalize()}:")
             result.printSchema()
             result.show()
 
@@ -38,11 +39,13 @@ def profile(spark, args):
 
 def replay(spark, args):
     """Send tweets as messages at the fixed pace; stops when all have been sent."""
-    steps = work_folder(spark, "steps")
-    streaming.split_for_replay(sources.read_tweets(spark, args.tweets), steps, args.rows_per_step)
-    messages = streaming.encode_messages(streaming.read_tweet_stream(spark, steps))
-    writer = sources.message_writer(messages, args.servers, args.topic)
-    query = streaming.start_replay(writer, args.progress, rows_per_trigger=args.rows_per_step)
+    query = streaming.replay(
+        spark,
+        sources.read_tweets(spark, args.tweets),
+        args.progress,
+        lambda messages: sources.message_writer(messages, args.servers, args.topic),
+        args.rows_per_step,
+    )
     query.processAllAvailable()
     query.stop()
 
@@ -72,11 +75,15 @@ def parser():
 
     add(analyses, "videos", "categories", out=None, dedupe="day")
     add(profile, "transactions")
-    add(replay, "tweets", "servers", "progress", topic=TOPIC, rows_per_step=11)
+    add(replay, "tweets", "servers", "progress", topic=TOPIC, rows_per_step=ROWS_PER_STEP)
     add(minutes, "servers", "out", "progress", topic=TOPIC, start="latest", batch=None)
     return top
 
 
 def main(arguments=None):
     args = parser().parse_args(arguments)
-    args.run(get_session(f"tidemark {args.job}"), args)
+    spark = get_session(f"tidemark {args.job}")
+    try:
+        args.run(spark, args)
+    finally:
+        remove_work_folders(spark)

@@ -18,7 +18,8 @@ def null_safe_join(left, right, keys, how="inner"):
     condition = reduce(
         lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
     )
-    return left.join(renamed, condition, how).drop(*[f"_right_{k}" for k in keys])
+    joined = left.join(renamed, condition, how)
+    return joined if how == "left_semi" else joined.drop(*[f"_right_{k}" for k in keys])
 
 
 def join_small(df, small, keys, rows=None, how="inner"):

@@ -1,54 +1,72 @@
 """Nested documents whose arrays stay bounded."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import null_safe_join
+from tidemark.session import work_folder
 
-# Array length from which a document is continued in a further row.
+# Array length of a full page.
 MAX_ITEMS = 100_000
 
 
 def nest(df, keys, item, name, copies=None, max_items=MAX_ITEMS):
-    """Gather `item` values per key into a sorted array column `name`.
+    """Gather `item` values per key into pages: rows with `part` and a sorted array `name`.
 
-    A group of up to `max_items` values gives one row with `part` 0. A larger group is
-    continued in rows with `part` 1, 2, …, so no task ever builds the whole of a hot
-    group; the parts together hold every value, copies included. Equal values are
-    counted before the shuffle and only repeated at the end; nulls are left out, as in
-    `collect_list`. `copies` names a column that says how often a row counts.
+    One rule for every group size: page p holds the values at positions p * `max_items` to
+    p * `max_items` + `max_items` - 1 in item order, copies included. Nulls are left out, as
+    in `collect_list`; a group of nulls has one empty page. `copies` names a column that says
+    how often a row counts.
+
+    Equal values are counted before the shuffle and repeated only in their page. Positions come
+    from a sort by range: running counts within each range of a group, and the counts of
+    the ranges before it, of which there are as many as partitions. The sorted counts are
+    written to the shared folder, so both are taken of the same ranges; no task sees more of a hot
+    group than one range of it.
     """
+    spark = df.sparkSession
+    count = F.when(F.col("_item").isNotNull(), F.col(copies) if copies else F.lit(1)).otherwise(0)
     packed = (
-        df.select(*keys, item.alias("_item"), (F.col(copies) if copies else F.lit(1)).alias("_n"))
+        df.withColumn("_item", item)
+        .select(*keys, "_item", count.cast("long").alias("_n"))
         .groupBy(*keys, "_item")
         .agg(F.sum("_n").alias("_n"))
+        .repartitionByRange(*keys, "_item")
+        .withColumn("_range", F.spark_partition_id())
     )
-    # Groups beyond max_items are few: at most (all values / max_items).
-    large = (
-        packed.groupBy(*keys)
-        .agg(F.ceil(F.sum("_n") / max_items).alias("_parts"))
-        .where(F.col("_parts") > 1)
-    )
-    slices = (
-        null_safe_join(packed, large, keys, "left")
-        .withColumn("_slice", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / max_items))))
-        .withColumn("_n", F.least(F.col("_n") - F.col("_slice") * max_items, F.lit(max_items)).cast("int"))
+    path = work_folder(spark, "pages")
+    packed.write.parquet(path)
+    packed = spark.read.parquet(path)
+    ahead = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = packed.groupBy(*keys, "_range").agg(F.sum("_n").alias("_sum"))
+    ranges = ranges.withColumn("_offset", F.coalesce(F.sum("_sum").over(ahead), F.lit(0))).drop("_sum")
+    before = Window.partitionBy(*keys, "_range").orderBy("_item").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col("_offset") + F.coalesce(F.sum("_n").over(before), F.lit(0))
+    last_page = F.floor((F.col("_first") + F.greatest(F.col("_n"), F.lit(1)) - 1) / max_items)
+    pages = (
+        null_safe_join(packed, ranges, [*keys, "_range"])
+        .withColumn("_first", first)
+        .withColumn("part", F.explode(F.sequence(F.floor(F.col("_first") / max_items), last_page)))
         .withColumn(
-            "part",
-            F.coalesce(F.pmod(F.xxhash64("_item", "_slice"), F.col("_parts")), F.lit(0)).cast("long"),
+            "_n",
+            F.least(F.col("_first") + F.col("_n"), (F.col("part") + 1) * max_items)
+            - F.greatest(F.col("_first"), F.col("part") * max_items),
         )
     )
-    return slices.groupBy(*keys, "part").agg(
-        F.array_compact(
-            F.sort_array(F.flatten(F.collect_list(F.array_repeat("_item", F.col("_n")))))
-        ).alias(name)
+    return pages.groupBy(*keys, "part").agg(
+        F.sort_array(F.flatten(F.collect_list(F.array_repeat("_item", F.col("_n").cast("int"))))).alias(name)
     )
 
 
+# Columns that stay beside a document: its position among the documents, and its page.
+BESIDE = ("rank", "part")
+
+
 def as_document(df, name, **fields):
     """Wrap the row into one struct column `name`; `fields` maps field names to columns.
 
-    `part` stays beside the document where the frame has one.
+    `rank` and `part` stay beside the document where the frame has them.
     """
-    fields = fields or {c: c for c in df.columns if c != "part"}
+    fields = fields or {c: c for c in df.columns if c not in BESIDE}
     document = F.struct(*[F.col(c).alias(f) for f, c in fields.items()]).alias(name)
-    return df.select(document, *[c for c in ("part",) if c in df.columns])
+    return df.select(document, *[c for c in BESIDE if c in df.columns])

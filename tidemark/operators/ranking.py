@@ -9,7 +9,8 @@ def top_n_per_group(df, keys, order, n, rank=None):
 
     The rank filter sits directly on `row_number`, so Spark keeps at most `n` rows per
     group and map task before the shuffle (`WindowGroupLimit`). A hot group therefore
-    never reaches one task whole. End `order` in a unique key, or ties fall at random.
+    never reaches one task whole. Spark does so up to
+    `spark.sql.optimizer.windowGroupLimitThreshold`, which `get_session` raises from 1000. End `order` in a unique key, or ties fall at random.
 
     `rank` names an output column for the position; without it the position is dropped.
     """
@@ -24,6 +25,13 @@ def first_per_key(df, keys, order):
     return top_n_per_group(df, keys, order, 1)
 
 
-def top_k(df, order, k=None):
-    """The first `k` rows in `order`; with `k` None or 0 all rows, unsorted."""
-    return df.orderBy(*order).limit(k) if k else df
+def top_k(df, order, k=None, rank=None):
+    """The first `k` rows in `order`; with `k` None or 0 all rows, unsorted.
+
+    `rank` names an output column for the position among the `k` rows, which are in one
+    place already.
+    """
+    if not k:
+        return df
+    top = df.orderBy(*order).limit(k)
+    return top.withColumn(rank, F.row_number().over(Window.orderBy(*order)).cast("long")) if rank else top

@@ -1,5 +1,6 @@
 """Channels with the most views, and channels whose videos trend longest."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.fixed import TOP_CHANNELS, TOP_TRENDING_CHANNELS
@@ -26,7 +27,7 @@ def _best_snapshots(videos, *with_channel):
     )
 
 
-def top_channels(videos, limit=TOP_CHANNELS):
+def top_channels(videos, limit=TOP_CHANNELS, rank=None):
     """Channels by the summed best views of their videos.
 
     The dates span the kept snapshots, not all appearances.
@@ -41,19 +42,20 @@ def top_channels(videos, limit=TOP_CHANNELS):
             F.count("*").alias("number_of_videos"),
         )
     )
-    return top_k(totals, [F.desc_nulls_last("total_views"), F.asc_nulls_last("channel_title")], limit)
+    return top_k(totals, [F.desc_nulls_last("total_views"), F.asc_nulls_last("channel_title")], limit, rank)
 
 
-def top_channel_videos(videos, limit=TOP_CHANNELS):
+def top_channel_videos(videos, limit=TOP_CHANNELS, rank=None):
     """The videos summed in `top_channels`, one row each.
 
     Rows of other channels are dropped at the scan, before the best snapshots are looked for.
     """
-    top = top_channels(videos, limit).drop("number_of_videos")
+    top = top_channels(videos, limit, rank).drop("number_of_videos")
+    named = [rank] if rank and limit else []
     rows = videos.select("channel_title", "video_id", "date", "views")
     rows = join_small(rows, top, ["channel_title"], rows=limit)
-    return _best_snapshots(rows, "start_date", "end_date", "total_views").select(
-        "channel_title", "start_date", "end_date", "total_views", "video_id", "views"
+    return _best_snapshots(rows, *named, "start_date", "end_date", "total_views").select(
+        *named, "channel_title", "start_date", "end_date", "total_views", "video_id", "views"
     )
 
 
@@ -67,29 +69,37 @@ def _video_channels(videos):
     )
 
 
-def top_trending_channels(videos, limit=TOP_TRENDING_CHANNELS):
+def top_trending_channels(videos, limit=TOP_TRENDING_CHANNELS, rank=None):
     """Channels by the summed trending days of their videos.
 
     A video seen under several channels counts fully for each. Only (video, channel)
-    counts are shuffled, no titles and no arrays.
+    counts are shuffled, no titles and no arrays; a video's total is summed over its pairs,
+    which are as few as its channels.
     """
-    pairs = _video_channels(videos)
-    per_video = pairs.groupBy("video_id").agg(F.sum("rows").alias("days"))
+    days = F.sum("rows").over(Window.partitionBy("video_id"))
     totals = (
-        pairs.join(per_video, "video_id", "left")
-        .groupBy(F.col("channel_title").alias("channel_name"))
-        .agg(F.sum(F.coalesce("days", "rows")).alias("total_trending_days"))
+        _video_channels(videos)
+        .select(F.col("channel_title").alias("channel_name"), days.alias("days"))
+        .groupBy("channel_name")
+        .agg(F.sum("days").alias("total_trending_days"))
     )
-    return top_k(totals, [F.desc_nulls_last("total_trending_days"), F.asc_nulls_last("channel_name")], limit)
+    return top_k(totals, [F.desc_nulls_last("total_trending_days"), F.asc_nulls_last("channel_name")], limit, rank)
 
 
-def top_trending_channel_videos(videos, limit=TOP_TRENDING_CHANNELS):
-    """The video versions summed in `top_trending_channels`, one row each."""
-    top = top_trending_channels(videos, limit).withColumnRenamed("channel_name", "channel_title")
+def top_trending_channel_videos(videos, limit=TOP_TRENDING_CHANNELS, rank=None):
+    """The video versions summed in `top_trending_channels`, one row each.
+
+    Rows of videos that no leading channel has are dropped before titles and descriptions
+    are shuffled.
+    """
+    top = top_trending_channels(videos, limit, rank).withColumnRenamed("channel_name", "channel_title")
+    named = [rank] if rank and limit else []
     pairs = _video_channels(videos).select("video_id", "channel_title")
     members = join_small(pairs, top, ["channel_title"], rows=limit)
-    versions = videos.groupBy("video_id", "title", "description").agg(F.count("*").alias("trending_days"))
+    rows = null_safe_join(videos, members.select("video_id").distinct(), ["video_id"], "left_semi")
+    versions = rows.groupBy("video_id", "title", "description").agg(F.count("*").alias("trending_days"))
     return null_safe_join(versions, members, ["video_id"]).select(
+        *named,
         F.col("channel_title").alias("channel_name"),
         "total_trending_days",
         "video_id",

@@ -1,6 +1,6 @@
 """Nested forms of the analyses: one struct column per row, holding arrays of structs.
 
-An array that outgrows `nest`'s limit is continued in further rows, numbered by `part`.
+An array has at most `max_items` values; longer ones are continued in further rows, numbered by `part`.
 """
 
 from pyspark.sql import functions as F
@@ -14,9 +14,20 @@ from tidemark.plans.tags import top_tag_videos
 from tidemark.plans.videos import trending_days
 
 
+def _ranked(limit):
+    """Key of ranked documents; all documents together have no ranks."""
+    return ["rank"] if limit else []
+
+
+def _in_order(documents):
+    """Documents in the order of their rank and part."""
+    return documents.orderBy(*[c for c in ("rank", "part") if c in documents.columns])
+
+
 def video_documents(videos, limit=TOP_VIDEOS, max_items=MAX_ITEMS):
-    """Column `video`."""
+    """Column `video`, with its `rank`; rows come in the order of rank and part."""
     keys = [
+        *_ranked(limit),
         "video_id",
         "title",
         "description",
@@ -26,8 +37,8 @@ def video_documents(videos, limit=TOP_VIDEOS, max_items=MAX_ITEMS):
         "total_trending_days",
     ]
     day = F.struct("date", "views", "likes", "dislikes")
-    rows = nest(trending_days(videos, limit), keys, day, "trending_days", max_items=max_items)
-    return as_document(
+    rows = nest(trending_days(videos, limit, "rank"), keys, day, "trending_days", max_items=max_items)
+    document = as_document(
         rows,
         "video",
         id="video_id",
@@ -38,6 +49,7 @@ def video_documents(videos, limit=TOP_VIDEOS, max_items=MAX_ITEMS):
         latestDislikes="latest_dislikes",
         trendingDays="trending_days",
     )
+    return _in_order(document)
 
 
 def week_documents(videos, categories, max_items=MAX_ITEMS):
@@ -86,20 +98,19 @@ def month_documents(videos, dedupe="day", max_items=MAX_ITEMS):
 
 
 def channel_documents(videos, limit=TOP_CHANNELS, max_items=MAX_ITEMS):
-    """Column `channel`, with the views of each video."""
-    keys = ["channel_title", "start_date", "end_date", "total_views"]
-    rows = top_channel_videos(videos, limit)
-    return as_document(
-        nest(rows, keys, F.struct("video_id", "views"), "video_views", max_items=max_items), "channel"
-    )
+    """Column `channel`, with the views of each video; rows come in the order of rank and part."""
+    keys = [*_ranked(limit), "channel_title", "start_date", "end_date", "total_views"]
+    rows = top_channel_videos(videos, limit, "rank")
+    rows = nest(rows, keys, F.struct("video_id", "views"), "video_views", max_items=max_items)
+    return _in_order(as_document(rows, "channel"))
 
 
 def trending_channel_documents(videos, limit=TOP_TRENDING_CHANNELS, max_items=MAX_ITEMS):
-    """Column `channel`, with the trending days of each video."""
-    keys = ["channel_name", "total_trending_days"]
+    """Column `channel`, with the trending days of each video; rows come in the order of rank and part."""
+    keys = [*_ranked(limit), "channel_name", "total_trending_days"]
     item = F.struct("video_id", "video_title", "trending_days")
-    rows = top_trending_channel_videos(videos, limit)
-    return as_document(nest(rows, keys, item, "videos_days", max_items=max_items), "channel")
+    rows = top_trending_channel_videos(videos, limit, "rank")
+    return _in_order(as_document(nest(rows, keys, item, "videos_days", max_items=max_items), "channel"))
 
 
 def category_documents(videos, categories):

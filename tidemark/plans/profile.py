@@ -13,5 +13,5 @@ def preview(df, n=20, truncate=False):
     df.printSchema()
     df.show(n, truncate)
     count = df.count()
-    print("Number rows:", count)
+    print(f"{count:,} rows in total")
     return count

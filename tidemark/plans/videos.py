@@ -35,11 +35,12 @@ def _latest_figures(snapshots, keys, **more):
     )
 
 
-def top_trending_videos(videos, limit=TOP_VIDEOS):
+def top_trending_videos(videos, limit=TOP_VIDEOS, rank=None):
     """One row per video version (id, title, description), by appearances of the video.
 
     A retitled video gives several rows; each has the total and the latest figures of the
-    whole video. `limit` None or 0 gives all versions, unsorted.
+    whole video. `limit` None or 0 gives all versions, unsorted and without `rank`, which
+    otherwise names a column for the position.
     """
     versions = videos.select(*VERSION)
     if limit:
@@ -54,14 +55,15 @@ def top_trending_videos(videos, limit=TOP_VIDEOS):
         stats = _latest_figures(videos, ["video_id"], total_trending_days=F.count("date"))
         result = join_small(versions.distinct(), stats, ["video_id"], how="left")
     order = [F.desc_nulls_last("total_trending_days"), *VERSION]
-    return top_k(result.select(*VERSION, *STATS), order, limit)
+    return top_k(result.select(*VERSION, *STATS), order, limit, rank)
 
 
-def trending_days(videos, limit=TOP_VIDEOS):
+def trending_days(videos, limit=TOP_VIDEOS, rank=None):
     """The snapshots behind `top_trending_videos`: its columns, plus one row per snapshot.
 
     Rows, not arrays: the figures of one video may be any share of the table.
     """
     snapshots = videos.select(*VERSION, "date", "views", "likes", "dislikes")
-    result = join_small(snapshots, top_trending_videos(videos, limit), VERSION, rows=limit)
-    return result.select(*VERSION, *STATS, "date", "views", "likes", "dislikes")
+    result = join_small(snapshots, top_trending_videos(videos, limit, rank), VERSION, rows=limit)
+    named = [rank] if rank and limit else []
+    return result.select(*named, *VERSION, *STATS, "date", "views", "likes", "dislikes")

@@ -10,9 +10,11 @@ from tidemark.session import work_folder
 from tidemark.sources import (
     categories,
     flatten_categories,
+    read_categories,
     messages,
     read_transactions,
     read_tweets,
+    read_videos,
     table,
     transactions,
     tweets,
@@ -51,6 +53,24 @@ SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS tweet_id, rol
 FROM conversations"""
 
 
+def scan_videos_csv(spark, folder):
+    path = work_folder(spark, "videos")
+    write_csv(videos(spark, folder), path)
+    return read_videos(spark, path)
+
+
+def read_category_documents(spark, folder):
+    """Customers as items of one JSON document per nation, each a file over many lines."""
+    item = F.struct(
+        F.col("c_custkey").cast("string").alias("id"), F.struct(F.col("c_name").alias("title")).alias("snippet")
+    )
+    nations = table(spark, folder, "customer").groupBy("c_nationkey").agg(F.collect_list(item).alias("items"))
+    path = work_folder(spark, "category-documents")
+    text = F.to_json(F.struct("items"), {"pretty": "true"}).alias("value")
+    nations.select(text).write.option("maxRecordsPerFile", 1).text(path)
+    return read_categories(spark, path)
+
+
 def flatten_items(spark, folder):
     """Orders as JSON documents with an array of items, written, read and flattened again."""
     item = F.struct(
@@ -87,6 +107,8 @@ def cast_measures(spark, folder):
         C.to_long("likes").alias("likes"),
         C.to_long("dislikes").alias("dislikes"),
         C.to_long("tags").alias("not_a_number"),
+        C.to_long(F.concat(F.lit(" -"), "likes", F.lit(".9 "))).alias("cut_likes"),
+        C.to_long(F.concat("views", F.lit("."))).alias("cut_views"),
     )
 
 
@@ -120,9 +142,10 @@ def having_repeat(spark, folder):
 
 def join_using_left(spark, folder):
     rows = typed_videos(spark, folder, "video_id", "views", "likes")
-    counts = rows.groupBy("video_id").agg(F.count("views").alias("n_rows"))
-    sums = rows.groupBy("video_id").agg(F.sum("likes").alias("sum_likes"))
-    return rows.join(counts, ["video_id"], "left").join(sums, ["video_id"], "left")
+    known = rows.where(F.col("video_id").isNotNull()).groupBy("video_id")
+    stats = known.agg(F.count("views").alias("n_rows"), F.sum("likes").alias("sum_likes"))
+    # Its null-safe keys give both sides an exchange of their own, so Spark can split a hot one.
+    return O.null_safe_join(rows, stats, ["video_id"], "left")
 
 
 def join_dimension(spark, folder):
@@ -263,6 +286,11 @@ def minute_key(spark, folder):
 QUERIES = {
     "scan_csv_typed": (scan_csv_typed, SCAN_CSV_TYPED_SQL),
     "scan_csv_multiline": (scan_csv_multiline, SCAN_CSV_MULTILINE_SQL),
+    "scan_videos_csv": (scan_videos_csv, f"{VIDEOS_SQL} SELECT * FROM raw"),
+    "read_category_documents": (
+        read_category_documents,
+        "SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS title FROM customer",
+    ),
     "flatten_items": (flatten_items, FLATTEN_ITEMS_SQL),
     "row_count": (row_count, "SELECT count(*) AS n_rows FROM lineitem"),
     "project_rename": (
@@ -272,7 +300,7 @@ QUERIES = {
     "cast_measures": (
         cast_measures,
         f"""{VIDEOS_SQL} SELECT video_id, views, likes, dislikes,
-            TRY_CAST(tags AS BIGINT) AS not_a_number FROM videos""",
+            TRY_CAST(tags AS BIGINT) AS not_a_number, -likes AS cut_likes, views AS cut_views FROM videos""",
     ),
     "struct_fields": (
         struct_fields,

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tidemark import plans
+from tidemark.operators.nesting import MAX_ITEMS
 from tidemark.plans import documents
 from tidemark.registry.base import VIDEOS_SQL, typed_videos
 from tidemark.sources import categories
@@ -57,7 +58,10 @@ def trending_days(spark, folder):
 
 def video_documents(spark, folder):
     docs = documents.video_documents(typed_videos(spark, folder, *_TRENDING_INPUT))
-    return docs.select("video.*", F.explode("video.trendingDays").alias("day")).select(
+    days = docs.select("rank", "part", "video.*", F.posexplode("video.trendingDays").alias("position", "day"))
+    return days.select(
+        "rank",
+        (F.col("part") * MAX_ITEMS + F.col("position")).alias("position"),
         F.col("id").alias("video_id"),
         "title",
         "description",
@@ -68,8 +72,19 @@ def video_documents(spark, folder):
     )
 
 
-VIDEO_DOCUMENTS_SQL = f"""SELECT video_id, title, description, latest_views, latest_likes,
-    latest_dislikes, date, views, likes, dislikes FROM ({TRENDING_DAYS_SQL})"""
+VIDEO_DOCUMENTS_SQL = f"""{_TRENDING_SQL}
+, numbered AS (
+    SELECT *, row_number() OVER (ORDER BY total_trending_days DESC NULLS LAST, video_id, title, description) AS rank
+    FROM top_trending
+)
+SELECT t.rank, row_number() OVER (PARTITION BY t.rank ORDER BY v.date NULLS FIRST, v.views NULLS FIRST,
+           v.likes NULLS FIRST, v.dislikes NULLS FIRST) - 1 AS position,
+       t.video_id, t.title, t.description, t.latest_views, t.latest_likes, t.latest_dislikes,
+       CAST(v.date AS VARCHAR) AS date, v.views, v.likes, v.dislikes
+FROM numbered t
+JOIN videos v ON v.video_id IS NOT DISTINCT FROM t.video_id
+             AND v.title IS NOT DISTINCT FROM t.title
+             AND v.description IS NOT DISTINCT FROM t.description"""
 
 # ---------------------------------------------------------------- leading category per week
 
@@ -172,6 +187,17 @@ def top_tag_videos(spark, folder):
     return plans.top_tag_videos(typed_videos(spark, folder, *_TAG_INPUT))
 
 
+def top_tag_videos_once(spark, folder):
+    return plans.top_tag_videos(typed_videos(spark, folder, *_TAG_INPUT), dedupe="period")
+
+
+TOP_TAG_VIDEOS_ONCE_SQL = f"""{_BY_PERIOD}
+SELECT {_TAG_COLUMNS}, p.video_id, count(*) AS days
+FROM ranked k JOIN period_rows p ON p.tag = k.tag AND p.end_date = k.end_date
+WHERE k.rank <= 10
+GROUP BY k.start_date, k.end_date, k.rank, k.tag, k.number_of_videos, p.video_id"""
+
+
 def month_documents(spark, folder):
     docs = documents.month_documents(typed_videos(spark, folder, *_TAG_INPUT))
     tags = docs.select("month.start_date", "month.end_date", F.explode("month.tags").alias("t"))
@@ -207,6 +233,13 @@ TOP_CHANNEL_VIDEOS_SQL = f"""{_CHANNELS_SQL}
 SELECT {_CHANNEL_COLUMNS}, b.video_id, b.views
 FROM channels c JOIN best b ON b.channel_title IS NOT DISTINCT FROM c.channel_title"""
 
+CHANNEL_DOCUMENTS_SQL = f"""{_CHANNELS_SQL}
+SELECT r.rank, row_number() OVER (PARTITION BY r.rank ORDER BY b.video_id NULLS FIRST, b.views NULLS FIRST) - 1 AS position,
+       {_CHANNEL_COLUMNS}, b.video_id, b.views
+FROM (SELECT *, row_number() OVER (ORDER BY total_views DESC NULLS LAST, channel_title NULLS LAST) AS rank FROM channels) r
+JOIN channels c ON c.channel_title IS NOT DISTINCT FROM r.channel_title
+JOIN best b ON b.channel_title IS NOT DISTINCT FROM c.channel_title"""
+
 _CHANNEL_INPUT = ("channel_title", "video_id", "trending_date", "views")
 
 
@@ -220,8 +253,9 @@ def top_channel_videos(spark, folder):
 
 def channel_documents(spark, folder):
     docs = documents.channel_documents(typed_videos(spark, folder, *_CHANNEL_INPUT))
-    return docs.select("channel.*", F.explode("channel.video_views").alias("video")).select(
-        "channel_title", "start_date", "end_date", "total_views", "video.*"
+    rows = docs.select("rank", "part", "channel.*", F.posexplode("channel.video_views").alias("position", "video"))
+    return rows.select(
+        "rank", (F.col("part") * MAX_ITEMS + F.col("position")).alias("position"), "channel_title", "start_date", "end_date", "total_views", "video.*"
     )
 
 
@@ -247,6 +281,12 @@ SELECT c.channel_name, c.total_trending_days, j.video_id, j.video_title, j.trend
 FROM channels c JOIN joined j ON j.channel_name IS NOT DISTINCT FROM c.channel_name"""
 
 
+TRENDING_CHANNEL_DOCUMENTS_SQL = f"""{_TRENDING_CHANNELS_SQL}
+SELECT c.rank, c.channel_name, c.total_trending_days, j.video_id, j.video_title, j.trending_days
+FROM (SELECT *, row_number() OVER (ORDER BY total_trending_days DESC, channel_name NULLS LAST) AS rank FROM channels) c
+JOIN joined j ON j.channel_name IS NOT DISTINCT FROM c.channel_name"""
+
+
 def top_trending_channels(spark, folder):
     return plans.top_trending_channels(typed_videos(spark, folder, "video_id", "channel_title"))
 
@@ -261,8 +301,8 @@ def top_trending_channel_videos(spark, folder):
 
 def trending_channel_documents(spark, folder):
     docs = documents.trending_channel_documents(_trending_channel_input(spark, folder))
-    return docs.select("channel.*", F.explode("channel.videos_days").alias("video")).select(
-        "channel_name", "total_trending_days", "video.*"
+    return docs.select("rank", "channel.*", F.explode("channel.videos_days").alias("video")).select(
+        "rank", "channel_name", "total_trending_days", "video.*"
     )
 
 
@@ -314,13 +354,14 @@ QUERIES = {
     "top_tags_monthly": (top_tags_monthly, TOP_TAGS_MONTHLY_SQL),
     "top_tags_monthly_once": (top_tags_monthly_once, TOP_TAGS_MONTHLY_ONCE_SQL),
     "top_tag_videos": (top_tag_videos, TOP_TAG_VIDEOS_SQL),
+    "top_tag_videos_once": (top_tag_videos_once, TOP_TAG_VIDEOS_ONCE_SQL),
     "month_documents": (month_documents, MONTH_DOCUMENTS_SQL),
     "top_channels": (top_channels, TOP_CHANNELS_SQL),
     "top_channel_videos": (top_channel_videos, TOP_CHANNEL_VIDEOS_SQL),
-    "channel_documents": (channel_documents, TOP_CHANNEL_VIDEOS_SQL),
+    "channel_documents": (channel_documents, CHANNEL_DOCUMENTS_SQL),
     "top_trending_channels": (top_trending_channels, TOP_TRENDING_CHANNELS_SQL),
     "top_trending_channel_videos": (top_trending_channel_videos, TOP_TRENDING_CHANNEL_VIDEOS_SQL),
-    "trending_channel_documents": (trending_channel_documents, TOP_TRENDING_CHANNEL_VIDEOS_SQL),
+    "trending_channel_documents": (trending_channel_documents, TRENDING_CHANNEL_DOCUMENTS_SQL),
     "top_category_videos": (top_category_videos, TOP_CATEGORY_VIDEOS_SQL),
     "category_documents": (category_documents, CATEGORY_DOCUMENTS_SQL),
 }

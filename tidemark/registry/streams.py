@@ -1,10 +1,12 @@
 """Messages. The stream queries run a real stream over all events until it has caught up."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemark import streaming
 from tidemark.session import work_folder
-from tidemark.sources import messages
+from tidemark.sources import messages, read_tweets, tweets, write_csv
 
 MESSAGES_SQL = """
 WITH messages AS (
@@ -47,6 +49,28 @@ def minute_counts(spark, folder):
     return counts.select(F.date_format("minute", "yyyy-MM-dd HH:mm").alias("minute"), "n_messages")
 
 
+def minute_counts_stream(spark, folder):
+    """Minutes of a live stream; every seventh message has a time that cannot be parsed."""
+    rows = messages(spark, folder)
+    broken = F.when(F.col("tweet_id").cast("long") % 7 == 0, "soon").otherwise(F.col("created_at"))
+    topic, name = work_folder(spark, "topic"), f"minutes_{uuid.uuid4().hex}"
+    streaming.encode_messages(rows.withColumn("created_at", broken), created_at="created_at").write.text(topic)
+    counts = streaming.minute_counts(streaming.decode_messages(streaming.read_message_files(spark, topic)))
+    stream = counts.writeStream.outputMode("complete").format("memory").queryName(name)
+    stream.trigger(availableNow=True).start().awaitTermination()
+    return spark.table(name).select(F.date_format("minute", "yyyy-MM-dd HH:mm").alias("minute"), "n_messages")
+
+
+def replay_messages(spark, folder):
+    """Conversation turns as a tweet file, replayed step by step as messages and decoded."""
+    source, topic = work_folder(spark, "tweets"), work_folder(spark, "topic")
+    write_csv(tweets(spark, folder), source)
+    progress = work_folder(spark, "replay")
+    query = streaming.replay(spark, read_tweets(spark, source), progress, streaming.text_sink(topic), rows_per_step=5000, paced=False)
+    query.awaitTermination()
+    return streaming.decode_messages(spark.read.text(topic)).select("tweet_id", "text")
+
+
 QUERIES = {
     "encode_json": (
         encode_json,
@@ -63,6 +87,16 @@ QUERIES = {
         f"""{MESSAGES_SQL} SELECT tweet_id, strftime(sent, '%Y-%m-%d %H:%M') AS created_at, text,
             strftime(sent, '%Y_%m_%d_%H_%M') || '_00' AS minute FROM messages""",
     ),
+    "minute_counts_stream": (
+        minute_counts_stream,
+        f"""{MESSAGES_SQL} SELECT CASE WHEN CAST(tweet_id AS BIGINT) % 7 <> 0
+                THEN strftime(sent, '%Y-%m-%d %H:%M') END AS minute, count(*) AS n_messages
+            FROM messages GROUP BY 1""",
+    ),
+    "replay_messages": (
+        replay_messages,
+        """SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS tweet_id, text FROM conversations""",
+    ),
     "minute_counts": (
         minute_counts,
         f"""{MESSAGES_SQL} SELECT strftime(sent, '%Y-%m-%d %H:%M') AS minute, count(*) AS n_messages

@@ -13,6 +13,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Up to this many rows per group are cut before the shuffle in rankings.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
 }
 
 
@@ -43,6 +45,30 @@ def shared_folder(spark):
     return folder
 
 
+_MADE = []
+
+
 def work_folder(spark, name):
     """A new, unused path below the shared folder."""
-    return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+    _MADE.append(path)
+    return path
+
+
+def _storage(spark, path):
+    """Hadoop file system and path object of a path."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
+
+
+def exists(spark, path):
+    """Whether a file or folder is there, in any storage that Spark reads."""
+    storage, place = _storage(spark, path)
+    return storage.exists(place)
+
+
+def remove_work_folders(spark):
+    """Delete the work folders of this process; for the end of a job, when no frame reads them any more."""
+    while _MADE:
+        storage, place = _storage(spark, _MADE.pop())
+        storage.delete(place, True)

@@ -2,7 +2,7 @@
 
 from tidemark.streaming.messages import decode_messages, encode_messages, read_message_files
 from tidemark.streaming.minutes import minute_counts, read_minute_files, write_minute_files
-from tidemark.streaming.replay import read_tweet_stream, split_for_replay, start_replay
+from tidemark.streaming.replay import read_tweet_stream, replay, split_for_replay, start_replay, text_sink
 
 __all__ = [
     "decode_messages",
@@ -11,7 +11,9 @@ __all__ = [
     "read_message_files",
     "read_minute_files",
     "read_tweet_stream",
+    "replay",
     "split_for_replay",
     "start_replay",
+    "text_sink",
     "write_minute_files",
 ]

@@ -8,15 +8,19 @@ from tidemark.functions import minute_key, minute_text
 from tidemark.sources.files import CSV_OPTIONS
 
 
-def minute_counts(messages, delay="1 minute"):
-    """Number of messages per minute.
-
-    On a stream, state is kept for open minutes only. In append mode a minute appears once
-    it is `delay` older than the newest message, and later messages for it are dropped; use
-    `write_minute_files` where every message has to count. On a batch frame `delay` has no
-    effect.
+def minute_counts(messages, delay=None):
+    """Number of messages per minute; messages whose time cannot be parsed count under a null minute.
+
+    On a stream this suits the complete and update modes, which lose no late message; state
+    is one number per minute. With `delay` it suits append mode: state is kept for open minutes
+    only, a minute appears once it is `delay` older than the newest message, and later
+    messages and those without a time are dropped. Use `write_minute_files` where every message
+    has to be kept.
     """
     event_time = F.try_to_timestamp("created_at", F.lit(MESSAGE_TIME_FORMAT))
+    if not delay:
+        minute = F.date_trunc("minute", event_time).alias("minute")
+        return messages.groupBy(minute).agg(F.count("*").alias("n_messages"))
     return (
         messages.select(event_time.alias("event_time"))
         .withWatermark("event_time", delay)
