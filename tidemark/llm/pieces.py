@@ -3,7 +3,7 @@
 If no piece of a model holds a white space marker after another character, a piece cannot
 cross from one marked word into the next. A text is then the sequence of its chunks (markers
 and the characters up to the next marker), and the ids of the text are the ids of its chunks
-in order. Each worker keeps a table chunk -> ids: a new chunk is segmented once by the library,
+in order. Each task keeps a table chunk -> ids: a new chunk is segmented once by the library,
 all its occurrences are joined by position. The table is emptied once it holds `TABLE_ROWS`
 chunks or `TABLE_BYTES` bytes, which costs time only. Models that break the condition are encoded text by text.
 
@@ -13,7 +13,9 @@ shuffled, and texts of any length are encoded whole.
 
 import re
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +23,9 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 MARKER = "▁"
-TABLE_ROWS, TABLE_BYTES = 700_000, 160 << 20
+TABLE_ROWS, TABLE_BYTES = 600_000, 180 << 20
+# Characters of texts that are split together.
+TOGETHER = 1 << 18
 # Characters that a changing normaliser would touch.
 PROBE = "ﬁ ① Ａ   x́ \t\n  y "
 
@@ -42,32 +46,34 @@ class Chunks:
         alone = np.array([self.model.piece_to_id(MARKER)], np.int32)
         self.table, self.held = {MARKER: alone.tobytes()}, 0
 
-    def encode(self, text):
-        """Ids of a text as bytes of int32."""
-        if not text:
-            return b""
+    def encode(self, texts):
+        """Ids of each text of a list as bytes of int32."""
         if not self.joinable:
-            return np.array(self.model.encode(text), np.int32).tobytes()
-        chunks = self.split(MARKER + text.replace(" ", MARKER))
-        new = [c for c in dict.fromkeys(chunks) if c not in self.table]
+            return [array("i", self.model.encode(text)).tobytes() for text in texts]
+        split = [self.split(MARKER + text.replace(" ", MARKER)) if text else [] for text in texts]
+        # A small table of these texts' chunks serves all but their first look-up.
+        known = {chunk: self.table.get(chunk) for chunk in set(chain.from_iterable(split))}
+        new = [chunk for chunk, coded in known.items() if coded is None]
         # The library puts one marker in front of what it encodes.
         for chunk, ids in zip(new, self.model.encode([c[1:] for c in new], num_threads=1)):
-            self.table[chunk] = coded = array("i", ids).tobytes()
+            known[chunk] = self.table[chunk] = coded = array("i", ids).tobytes()
             self.held += 3 * len(chunk) + len(coded) + 150
-        coded = b"".join(map(self.table.__getitem__, chunks))
         if self.held > TABLE_BYTES or len(self.table) > TABLE_ROWS:
             self.clear()
-        return coded
+        return [b"".join(map(known.__getitem__, chunks)) for chunks in split]
 
     def encode_all(self, texts):
         """Arrow array of texts to an Arrow array of id lists."""
-        ends, parts, size = [0], [], 0
+        coded, held, size = [], [], 0
         for text in texts:
-            coded = self.encode(text.as_py())
-            size += len(coded) // 4
-            parts.append(coded)
-            ends.append(size)
-        values = pa.Array.from_buffers(pa.int32(), size, [None, pa.py_buffer(b"".join(parts))])
+            held.append(text.as_py() or "")
+            size += len(held[-1])
+            if size >= TOGETHER:
+                coded += self.encode(held)
+                held, size = [], 0
+        coded += self.encode(held)
+        ends = np.cumsum([0, *[len(c) // 4 for c in coded]])
+        values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(coded))])
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
 
     def decode_all(self, lists):
@@ -94,8 +100,13 @@ def encoder(model):
     """Function of a text column that gives the column of its ids."""
 
     @F.arrow_udf("array<int>")
-    def encode(texts: pa.Array) -> pa.Array:
-        return _worker(model).encode_all(texts)
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        worker = _worker(model)
+        try:
+            for texts in batches:
+                yield worker.encode_all(texts)
+        finally:
+            worker.clear()
 
     return encode
 
