@@ -1,11 +1,13 @@
 """A training corpus from `documents` in five stages, each over all that the one before it kept."""
 
 import os
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import functions as F
 
 from tidemark.llm import near_dup, pieces, secrets, toxicity, wu_manber
+from tidemark.llm.batches import small_batches
 from tidemark.session import work_folder
 from tidemark.sources import table
 
@@ -73,12 +75,23 @@ def encode_pieces(spark, docs, sf_dir):
     )
 
 
+def bounded(stage):
+    """The stage with bounded Arrow batches."""
+
+    @wraps(stage)
+    def run_stage(spark, docs, sf_dir):
+        small_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("toxicity", drop_toxic),
-    ("near_dedup", drop_near_copies),
-    ("decontamination", drop_contaminated),
-    ("secrets", mask_secrets),
-    ("pieces", encode_pieces),
+    ("toxicity", bounded(drop_toxic)),
+    ("near_dedup", bounded(drop_near_copies)),
+    ("decontamination", bounded(drop_contaminated)),
+    ("secrets", bounded(mask_secrets)),
+    ("pieces", bounded(encode_pieces)),
 ]
 
 # Scores of compression lengths and a trained forest have no counterpart in SQL.

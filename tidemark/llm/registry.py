@@ -1,9 +1,12 @@
 """Registered queries of the ten operators with their production parameters."""
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import kneser_ney, multiprobe, near_dup, pieces, secrets, sharding, toxicity, url_filter, warc, wu_manber
+from tidemark.llm import kneser_ney, multiprobe, near_dup, pieces, secrets, sharding, sql, toxicity, url_filter, warc, wu_manber
+from tidemark.llm.batches import small_batches
 from tidemark.session import work_folder
 from tidemark.sources import table
 
@@ -114,7 +117,18 @@ def op10_kneser_ney(spark, folder):
     )
 
 
-QUERIES = {
+def _bounded(query):
+    """The query with bounded Arrow batches."""
+
+    @wraps(query)
+    def run(spark, folder):
+        small_batches(spark)
+        return query(spark, folder)
+
+    return run
+
+
+_QUERIES = {
     "op1_multiprobe": op1_multiprobe,
     "op2_warc_zstd": op2_warc_zstd,
     "op3_forest_secrets": op3_forest_secrets,
@@ -126,4 +140,6 @@ QUERIES = {
     "op9_pieces": op9_pieces,
     "op10_kneser_ney": op10_kneser_ney,
 }
-ORACLE_SQL = {}
+QUERIES = {name: _bounded(query) for name, query in _QUERIES.items()}
+# The others search approximately, score with trained models or apply a library.
+ORACLE_SQL = {"op2_warc_zstd": sql.OP2, "op4_wu_manber": sql.OP4, "op5_bottom_k": sql.OP5}

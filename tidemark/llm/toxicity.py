@@ -12,7 +12,7 @@ Scoring compresses every window of a text with both dictionaries. A window is `W
 two fixed runs of bytes that both dictionaries know, since the format finds no match in the last
 bytes of its input and stores inputs as they are that hardly shrink. The difference of the two
 lengths tells to which text a window is nearer. Equal windows are compressed once per table of a
-worker; the table is emptied at `TABLE_ROWS`, which costs time only.
+task; the table is emptied at `TABLE_ROWS`, which costs time only.
 
 Null and empty texts and texts without words have no windows: all their differences are 0. If the
 sample lacks one of the classes, every score is the share of toxic rows. Labels are taken as the
@@ -20,6 +20,7 @@ largest per id; null ids and labels take no part in training. Repeated rows scor
 """
 
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -181,9 +182,16 @@ def scorer(model):
     ordinary, toxic, weights, window = tuple(model[0]), tuple(model[1]), np.array(model[2]), model[3]
 
     @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         lengths = _worker(ordinary, toxic, window)
+        try:
+            for texts in batches:
+                yield pd.Series(of_batch(lengths, texts))
+        finally:
+            lengths.table.clear()
+
+    def of_batch(lengths, texts):
         x = np.array([lengths.of_text(text) for text in texts], float).reshape(-1, FEATURES)
-        return pd.Series(1 / (1 + np.exp(-(x @ weights[:-1] + weights[-1]))))
+        return 1 / (1 + np.exp(-(x @ weights[:-1] + weights[-1])))
 
     return score
