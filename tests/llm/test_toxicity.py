@@ -64,3 +64,12 @@ def test_windows_of_several_words():
     lengths = T.Lengths([b"calm"], [b"wretch"], window=3)
     assert lengths.of_text("you are a wretch today") > lengths.of_text("you are a friend today")
     assert lengths.of_text("") == lengths.of_text(None) == lengths.of_text("123") == (0.0,) * T.FEATURES
+
+
+def test_phrases_and_word_order_are_learned():
+    rows = [(t + " " + ("river takes stone" if y else "stone takes river"), y) for t, y in ((t, i % 3 == 0) for i, (t, y) in enumerate(corpus(900)) if not y)]
+    model = T.fit([t for t, _ in rows[:500]], [int(y) for _, y in rows[:500]])
+    lengths = T.Lengths(model[0], model[1], model[3])
+    x = [lengths.of_text(t) for t, _ in rows[500:]]
+    hits = [(sum(a * b for a, b in zip(v, model[2])) + model[2][-1] >= 0) == y for v, (_, y) in zip(x, rows[500:])]
+    assert sum(hits) >= 0.97 * len(hits)

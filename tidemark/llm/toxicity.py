@@ -1,18 +1,19 @@
 """Toxicity by compression distance: two zstandard dictionaries, one of toxic and one of ordinary text.
 
 Training takes a bounded sample of labelled rows (`SAMPLE_ROWS` rows of at most `SAMPLE_BYTES` bytes,
-chosen by the hash of their id). On one part, words are ranked by how much more often documents of
-one class hold them; the two dictionaries are made of the `size` most telling words of each class,
-the most telling last, where zstandard reaches them cheapest. On the other part, the compression
-lengths are calibrated: a logistic model on the largest and mean differences, as they are and per
-byte of the window, and on the windows beyond thresholds gives the score, and `size` is the one
-with the smallest loss.
-
-Scoring compresses every window of a text with both dictionaries. A window is `WINDOW` words between
-two fixed runs of bytes that both dictionaries know, since the format finds no match in the last
-bytes of its input and stores inputs as they are that hardly shrink. The difference of the two
-lengths tells to which text a window is nearer. Equal windows are compressed once per table of a
-task; the table is emptied at `TABLE_ROWS`, which costs time only.
+chosen by the hash of their id). On one part, runs of one to `RUN` words are ranked by how much more
+often different texts of one class hold them, and so are heads and tails of words (`PART` bytes). A passage is a stretch of a sample text that such runs cover
+without a gap, so words, phrases and their order are learned alike. Each dictionary holds the
+`SHARED` most frequent words of all texts, as both kinds of text have them, and behind these the `size`
+most telling passages of its class, the most telling last, where zstandard reaches them cheapest. On the
+other part, the compression lengths are calibrated: a logistic model on the largest and mean
+differences, as they are and per byte of the window, and on the windows beyond thresholds gives the
+score, and `size` is the one with the smallest loss.
+
+Scoring compresses every window of a text with both dictionaries. A window is `WINDOW` words between two
+fixed runs of bytes that both dictionaries know, since the format finds no match in the last bytes of
+its input and stores inputs as they are that hardly shrink. Windows overlap by `RUN - 1` words, so that every
+run lies whole in one of them. The difference of the two lengths tells to which text a window is nearer.
 
 Null and empty texts and texts without words have no windows: all their differences are 0. If the
 sample lacks one of the classes, every score is the share of toxic rows. Labels are taken as the
@@ -20,6 +21,7 @@ largest per id; null ids and labels take no part in training. Repeated rows scor
 """
 
 import re
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,17 +30,20 @@ import pandas as pd
 import zstandard
 from pyspark.sql import functions as F
 
+from tidemark.llm import words as W
+
 SAMPLE_ROWS, SAMPLE_BYTES = 4000, 32 << 10
-SIZES = (8, 16, 32, 64, 96, 128)
-# Words of the toxic dictionary differ between the classes by at least this many standard errors.
-LEAST_Z = 3.0
-# Thresholds of a window: bytes towards either side, and bytes saved per byte of the window.
-NEAR_TOXIC, NEAR_ORDINARY, WHOLE = 6, -4, 1.0
+SIZES = (8, 16, 32, 64, 128, 256, 512, 1024)
+# Runs of the toxic dictionary differ between the classes by at least this many standard errors.
+LEAST_Z = 4.0
+# Words of a run and of a passage, bytes of the head or tail of a word, and shared words.
+RUN, LONGEST, PART, SHARED = 3, 12, 4, 256
+# Thresholds of a window: bytes towards either side.
+NEAR_TOXIC, FAR_TOXIC, NEAR_ORDINARY = 4, 6, -4
 FEATURES = 9
-WINDOW = 1
-TABLE_ROWS = 400_000
+WINDOW = 4
 HEAD, TAIL = b"0123456789abcdefghijklmnopqrstuv", b"ABCDEFGHIJKLMNOP"
-_WORDS = re.compile(rb"[a-z\x80-\xff]+").findall
+_WORDS = re.compile(rb"[0-9a-z\x80-\xff]+").findall
 
 
 def words_of(text):
@@ -53,7 +58,7 @@ class Lengths:
     """Differences of compression lengths of windows."""
 
     def __init__(self, ordinary, toxic, window=WINDOW):
-        # Fixed values of the search: matches of six bytes and more, tables far larger than the dictionaries.
+        # Fixed values of the search: matches of six bytes and more, tables larger than the dictionaries.
         search = zstandard.ZstdCompressionParameters(
             window_log=15,
             hash_log=14,
@@ -65,59 +70,124 @@ class Lengths:
             write_content_size=False,
             write_dict_id=False,
         )
-        self.window, self.table = window, {}
+        self.window = window
         self.compress = []
         for words in (ordinary, toxic):
             content = zstandard.ZstdCompressionDict(HEAD + TAIL + framed(words), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self.compress.append(zstandard.ZstdCompressor(dict_data=content, compression_params=search).compress)
 
-    def difference(self, window):
-        text = HEAD + framed(window) + TAIL
-        ordinary, toxic = self.compress
-        return len(ordinary(text)) - len(toxic(text))
+    def windows(self, words):
+        """Overlapping windows that hold every run of up to `RUN` words whole."""
+        step = max(1, self.window - RUN + 1)
+        return [words[i : i + self.window] for i in range(0, max(1, len(words) - self.window + step), step)] if words else []
 
     def of_text(self, text):
         """Numbers on the differences of all windows of a text."""
-        words, size, table = words_of(text), self.window, self.table
-        windows = words if size == 1 else [tuple(words[i : i + size]) for i in range(0, len(words), size)]
+        windows = [framed(w) for w in self.windows(words_of(text))]
         if not windows:
             return (0.0,) * FEATURES
-        for window in set(windows):
-            if window not in table:
-                table[window] = self.difference((window,) if size == 1 else window)
-        found = np.fromiter(map(table.__getitem__, windows), np.int64, len(windows))
-        if len(table) > TABLE_ROWS:
-            table.clear()
-        bytes_of = map(len, windows) if size == 1 else (len(b"  ".join(w)) for w in windows)
-        saved = found / np.fromiter(bytes_of, np.int64, len(windows))
+        ordinary, toxic = self.compress
+        found = np.array([len(ordinary(w)) - len(toxic(w)) for w in (HEAD + w + TAIL for w in windows)])
+        saved = found / np.array([len(w) for w in windows])
         top = np.partition(found, -3)[-3:] if len(found) > 3 else found
-        whole = saved >= WHOLE
+        near = found >= NEAR_TOXIC
         return (
-            top.max(),
-            top.mean(),
-            found.mean(),
-            10 * (found >= NEAR_TOXIC).mean(),
-            (found <= NEAR_ORDINARY).mean(),
-            float(whole.any()),
-            10 * whole.mean(),
-            np.log1p(whole.sum()),
-            saved.mean(),
+            float(top.max()),
+            float(top.mean()),
+            float(found.mean()),
+            10 * float(near.mean()),
+            float((found <= NEAR_ORDINARY).mean()),
+            float((found >= FAR_TOXIC).any()),
+            float(np.log1p(near.sum())),
+            float(saved.max()),
+            float(saved.mean()),
         )
 
 
-def telling_words(texts, labels, most):
-    """Words of toxic and of ordinary documents, the most telling last."""
-    counts, totals = {}, np.bincount(labels, minlength=2)
-    for text, label in zip(texts, labels):
-        for word in set(words_of(text)):
-            counts.setdefault(word, [0, 0])[label] += 1
-    words = sorted(counts)
-    seen = np.array([counts[w] for w in words], float).reshape(-1, 2)
+def runs_of(words):
+    """Hashes of the heads and tails of words and of all runs of one to `RUN` words, per kind and place."""
+    code = lambda parts: np.array([zlib.crc32(w) << 32 | zlib.adler32(w) for w in parts], np.uint64)
+    rows = [code([w[:PART] + b" " for w in words]), code([b" " + w[-PART:] for w in words]), code(words)]
+    for n in range(1, RUN):
+        rows.append(W.chain(rows[-1][: max(0, len(words) - n)], rows[2][n:]))
+    return rows
+
+
+def passage(words, runs, telling, at):
+    """Words around a place that telling runs cover without a gap, and the telling runs inside."""
+    low, high = max(0, at - LONGEST), min(len(words), at + LONGEST)
+    spans = sorted((i, i + max(1, n - 1), int(r[i])) for n, r in enumerate(runs) for i in range(low, min(high, len(r))) if int(r[i]) in telling)
+    start = end = None
+    for first, last, _ in spans:
+        if end is not None and first <= end:
+            end = max(end, last)
+        elif end is None or end <= at:
+            start, end = first, last
+    start = max(start, end - LONGEST) if start <= at - LONGEST // 2 else start
+    end = min(end, start + LONGEST)
+    if end - start == 1 and int(runs[2][start]) not in telling:
+        # Only the head or tail tells: the rest of the word would match other words.
+        word = words[start][:PART] if int(runs[0][start]) in telling else words[start][-PART:]
+        return [word], {code for _, _, code in spans if code in (int(runs[0][start]), int(runs[1][start]))}
+    return words[start:end], {code for first, last, code in spans if start <= first and last <= end}
+
+
+def passages(texts, places, codes, most):
+    """Passages of the texts that hold the codes, the first codes first; none that earlier ones hold."""
+    telling, covered, found = set(codes), set(), []
+    for code in codes:
+        if len(found) == most:
+            break
+        if code not in covered:
+            text, at = places[code]
+            words, inside = passage(texts[text], runs_of(texts[text]), telling, at)
+            covered |= inside | {code}
+            found.append(b"  ".join(words))
+    return found[::-1]
+
+
+def trained_passages(texts, labels, most):
+    """Frequent words of all texts, passages of toxic and of ordinary ones, the most telling last."""
+    # Repeated texts count once.
+    rows = list(dict.fromkeys((tuple(words_of(t)), int(y)) for t, y in zip(texts, labels)))
+    texts, labels = [list(w) for w, _ in rows], np.array([y for _, y in rows])
+    parts, ends = [], []
+    for words in texts:
+        runs = runs_of(words)
+        codes, first = np.unique(np.concatenate(runs), return_index=True)
+        ends.append(len(codes))
+        at = np.concatenate([np.arange(len(r)) for r in runs])[first]
+        # A run's two parts are the runs one word shorter, those of a word its head and tail, which have none.
+        longer = list(zip(runs[2:], runs[3:]))
+        left = np.concatenate([*runs[:2], runs[0], *[r[: len(s)] for r, s in longer]])[first]
+        right = np.concatenate([*runs[:2], runs[1], *[r[1 : len(s) + 1] for r, s in longer]])[first]
+        word = np.repeat(np.arange(len(runs)) == 2, [len(r) for r in runs])[first]
+        parts.append((codes, at.astype(np.int32), left, right, word))
+    codes, at, left, right, word = [np.concatenate([p[i] for p in parts]) for i in range(5)]
+    text = np.repeat(np.arange(len(texts), dtype=np.int32), ends)
+    codes, first, place = np.unique(codes, return_index=True, return_inverse=True)
+    totals = np.bincount(labels, minlength=2)
+    toxic = np.bincount(place, weights=labels[text], minlength=len(codes))
+    seen = np.column_stack([np.bincount(place, minlength=len(codes)) - toxic, toxic])
     shares = (seen + 0.5) / (totals + 1)
     pooled = (seen.sum(axis=1) + 0.5) / (totals.sum() + 1)
-    z = (shares[:, 1] - shares[:, 0]) / np.sqrt(pooled * (1 - pooled) * (1 / totals).sum() + 1e-12)
-    order = np.argsort(z, kind="stable")
-    return [words[i] for i in order[-most:] if z[i] >= LEAST_Z], [words[i] for i in order[:most][::-1]]
+    z = (shares[:, 1] - shares[:, 0]) / np.sqrt(pooled * (1 - pooled) * (1 / np.maximum(totals, 1)).sum() + 1e-12)
+    # A run of one text alone tells nothing of its class.
+    z[seen.sum(axis=1) < 2] = 0
+    # Nor does one that tells no more than its parts, or a word that tells less than its head or tail.
+    inner = [np.where(part[first] == codes, 0, z[np.searchsorted(codes, part[first])]) for part in (left, right)]
+    word = word[first]
+    more = np.where(z > 0, (z > np.maximum(*inner)) | word & (z == np.maximum(*inner)), (z < np.minimum(*inner)) | word & (z == np.minimum(*inner)))
+    z = np.where(more, z, 0)
+    by_z, frequent = np.lexsort((codes, -z)), np.lexsort((codes, -pooled))
+    # Single words only: a longer stretch could hold the order of words that tells the classes apart.
+    frequent = frequent[(word & (np.abs(z) < LEAST_Z))[frequent]]
+    kinds = [by_z[: int((z >= LEAST_Z).sum())][: 4 * most], by_z[::-1][: int((z <= -LEAST_Z).sum())][: 4 * most]]
+    out = [[texts[text[first[i]]][at[first[i]]] for i in frequent[:SHARED]][::-1]]
+    for kind in kinds:
+        places = {int(codes[i]): (int(text[first[i]]), int(at[first[i]])) for i in kind}
+        out.append(passages(texts, places, [int(codes[i]) for i in kind], most))
+    return out
 
 
 def fit_logistic(x, y, ridge=1e-2, steps=50):
@@ -145,14 +215,17 @@ def fit(texts, labels, sizes=SIZES, window=WINDOW):
         share = (labels.sum() + 0.5) / (len(labels) + 1)
         return [], [], [0.0] * FEATURES + [float(np.log(share / (1 - share)))], window
     pick = lambda flags: [t for t, f in zip(texts, flags) if f]
-    toxic, ordinary = telling_words(pick(learn), labels[learn], max(sizes))
+    shared, toxic, ordinary = trained_passages(pick(learn), labels[learn], max(sizes))
     best = None
     for size in sizes:
-        lengths = Lengths(ordinary[-size:], toxic[-size:], window)
+        dictionaries = shared + ordinary[-size:], shared + toxic[-size:]
+        lengths = Lengths(*dictionaries, window)
         x = np.array([lengths.of_text(t) for t in pick(check)])
         weights, loss = fit_logistic(x, labels[check])
         if best is None or loss < best[0]:
-            best = loss, (ordinary[-size:], toxic[-size:], weights.tolist(), window)
+            best = loss, (*dictionaries, weights.tolist(), window)
+        if size >= max(len(toxic), len(ordinary)):
+            break
     return best[1]
 
 
@@ -184,11 +257,8 @@ def scorer(model):
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         lengths = _worker(ordinary, toxic, window)
-        try:
-            for texts in batches:
-                yield pd.Series(of_batch(lengths, texts))
-        finally:
-            lengths.table.clear()
+        for texts in batches:
+            yield pd.Series(of_batch(lengths, texts))
 
     def of_batch(lengths, texts):
         x = np.array([lengths.of_text(text) for text in texts], float).reshape(-1, FEATURES)
