@@ -1,11 +1,24 @@
-"""Registered queries of the ten operators with their production parameters."""
+"""Registered queries of the operators with their production parameters."""
 
 from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import kneser_ney, multiprobe, near_dup, pieces, secrets, sharding, sql, toxicity, url_filter, warc, wu_manber
+from tidemark.llm import (
+    kneser_ney,
+    multiprobe,
+    near_dup,
+    periodic_runs,
+    pieces,
+    secrets,
+    sharding,
+    sql,
+    toxicity,
+    url_filter,
+    warc,
+    wu_manber,
+)
 from tidemark.llm.batches import small_batches
 from tidemark.session import work_folder
 from tidemark.sources import table
@@ -117,6 +130,25 @@ def op10_kneser_ney(spark, folder):
     )
 
 
+def op11_run_seeds(spark, folder):
+    find = periodic_runs.run_finder(rewrite=periodic_runs.looped)
+    key = F.col("doc_id").cast("string")
+    rows = table(spark, folder, "documents").select("doc_id", find("text", key).alias("r"))
+    rows = rows.select("doc_id", "r", periodic_runs.strongest("r.runs").alias("best"))
+    line = lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n"))
+    listed = F.array_join(F.transform("r.runs", line), "")
+    return rows.select(
+        "doc_id",
+        F.size("r.runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("r.collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 def _bounded(query):
     """The query with bounded Arrow batches."""
 
@@ -139,6 +171,7 @@ _QUERIES = {
     "op8_hash_ring": op8_hash_ring,
     "op9_pieces": op9_pieces,
     "op10_kneser_ney": op10_kneser_ney,
+    "op11_run_seeds": op11_run_seeds,
 }
 QUERIES = {name: _bounded(query) for name, query in _QUERIES.items()}
 # The others search approximately, score with trained models or apply a library.
