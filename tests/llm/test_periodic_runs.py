@@ -19,9 +19,9 @@ def plain(words, least=24, times=3):
             while j < len(words) - q and words[j] == words[j + q]:
                 j += 1
             length = j - i + q
-            smaller = any(words[i : i + length - r] == words[i + r : i + length] for r in range(1, q))
-            if j > i and length >= max(least, times * q) and not smaller:
-                found.append((i, length, q))
+            if j > i and length >= max(least, times * q):
+                if not any(words[i : i + length - r] == words[i + r : i + length] for r in range(1, q)):
+                    found.append((i, length, q))
             i = j + 1 if j == i else j
     return sorted(found, key=lambda r: (r[0], r[2]))
 
