@@ -52,6 +52,17 @@ def test_sample_takes_labels_by_id(spark):
     assert T.labelled_sample(table, labels) == (["one", "Zwei wörter"], [1, 0])
 
 
+def test_sample_is_bounded_for_one_id_on_many_rows(spark, monkeypatch):
+    rows = [(1, f"text {i} of one id " + "x" * (i % 50)) for i in range(20_000)] + [(i, "y" * 100) for i in range(2, 60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 60)], "doc_id long, toxic int")
+    texts, found = T.labelled_sample(docs(spark, rows), labels)
+    assert len(texts) == 59 and texts[0].startswith("text ") and found == [i % 2 for i in range(1, 60)]
+    assert T.labelled_sample(docs(spark, rows), labels) == (texts, found)
+    assert len(T.labelled_sample(docs(spark, rows), labels, rows=10)[0]) == 10
+    assert 0 < sum(map(len, T.labelled_sample(docs(spark, rows), labels, total=1000)[0])) <= 1000
+    assert T.labelled_sample(docs(spark, rows), labels, most_bytes=90)[0] == texts[:1]
+
+
 def test_awkward_rows_and_empty_table(spark):
     rows = corpus(200)
     model = T.fit([t for t, _ in rows], [y for _, y in rows])
