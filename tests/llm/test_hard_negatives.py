@@ -1,0 +1,96 @@
+import numpy as np
+import pytest
+
+from tidemark.llm import hard_negatives as H
+from tidemark.llm import registry
+
+INF, NAN = float("inf"), float("nan")
+
+
+def table(spark, rows, kind="float"):
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>, label int")
+    return df.selectExpr("*", "'x' as id", "'y' as path", "'z' as rank", "'w' as score")
+
+
+def plain(rows, anchor, positives=5, negatives=10, low=30, high=90):
+    """Rows of the result by comparing each anchor with all."""
+    sound = {}
+    whole = [r for r in rows if None not in r and all(x is not None and np.isfinite(x) for x in r[1])]
+    for i, v, y in sorted(whole, key=lambda r: (r[2], r[1])):
+        sound.setdefault(i, ([int(np.floor(256 * float(x))) for x in v], y))
+    out = []
+    for a, (x, label) in sound.items():
+        if not anchor(a):
+            continue
+        others = [(-sum(p * q for p, q in zip(x, z)), i, y) for i, (z, y) in sound.items() if i != a and len(z) == len(x)]
+        for s, i, _ in sorted(o for o in others if o[2] == label)[:positives]:
+            far = [(t, j) for t, j, y in sorted(others) if y != label and low * -s <= 100 * -t <= high * -s]
+            out += [(a, i, n, j, -s, -t) for n, (t, j) in enumerate(far[:negatives], 1)]
+    return sorted(out)
+
+
+def mined(df, condition, **options):
+    return sorted(tuple(r) for r in H.mine(df, condition, **options).collect())
+
+
+@pytest.mark.parametrize("kind, dim, scale", [("float", 13, 1.0), ("double", 64, 40.0)])
+def test_rows_match_plain_comparison(spark, monkeypatch, kind, dim, scale):
+    monkeypatch.setattr(H, "PIECE_ROWS", 50)
+    monkeypatch.setattr(H, "BLOCK_ANCHORS", 7)
+    random = np.random.default_rng(dim)
+    x = (np.abs(random.standard_normal((300, dim))) * scale).astype(np.float32)
+    x[100:180] = x[100]
+    x[::9] -= 1
+    rows = [(i * 3 - 200, v.tolist(), int(y)) for i, (v, y) in enumerate(zip(x, random.integers(0, 4, len(x))))]
+    got = mined(table(spark, rows, kind), "vec_id % 10 = 0")
+    assert got == plain(rows, lambda i: i % 10 == 0) and len(got) > 500
+
+
+def test_awkward_rows(spark):
+    rows = [
+        (0, [1.0, 0.5, 0.0], 1),
+        (1, [1.0, 0.4, 0.0], 1),
+        (1, [1.0, 0.4, 0.0], 1),
+        (2, [0.5, 0.5, 9.0], 2),
+        (2, [0.5, 0.4, 0.0], 2),
+        (3, [0.7, 0.1, 0.0], None),
+        (4, None, 1),
+        (5, [0.9, NAN, 0.0], 1),
+        (6, [0.9, INF, 0.0], 2),
+        (7, [0.9, None, 0.0], 2),
+        (8, [], 1),
+        (9, [], 1),
+        (10, [0.5, 0.5], 2),
+        (11, [0.0, 0.0, 0.0], 2),
+        (12, [-1.0, -0.5, 0.0], 2),
+        (13, [0.5, 0.5, 0.1], 2),
+        (14, [0.5, 0.5, 0.2], 2),
+        (None, [0.5, 0.5, 0.1], 2),
+    ]
+    assert mined(table(spark, rows), "true") == plain(rows, lambda i: True)
+    # Components whose scores could leave 64 bits take no part.
+    large = [(20, [1e30, 0.0, 0.0], 1), (21, [-1e300, 1.0, 0.0], 2)]
+    assert mined(table(spark, rows + large, "double"), "true") == plain(rows, lambda i: True)
+
+
+@pytest.mark.parametrize("rows", [[], [(0, [1.0], 1)], [(0, None, 1)], [(0, [1.0], 1), (1, [1.0], 1)], [(1, [1.0], 1), (2, [1.0], 2)]])
+def test_nothing_to_find(spark, rows):
+    assert mined(table(spark, rows), "vec_id % 100 = 0") == []
+
+
+def test_lookups_give_products():
+    random = np.random.default_rng(3)
+    for dim, most in ((1, 3), (8, 256), (70, 1 << 22)):
+        x, a = random.integers(-most, most + 1, (300, dim)), random.integers(-most, most + 1, (5, dim))
+        bits = H.bits_of(x)
+        assert (H.scores(H.narrow(H.subset_sums(a), bits), H.bit_planes(x, bits)) == x @ a.T).all()
+
+
+def test_query_moves_labels_and_takes_every_hundredth(spark, monkeypatch):
+    random = np.random.default_rng(4)
+    rows = [(i, v.tolist(), int(i % 10)) for i, v in enumerate(np.abs(random.standard_normal((220, 8))).astype(np.float32))]
+    monkeypatch.setattr(registry, "table", lambda *_: table(spark, rows))
+    moved = [(i, v, (y + 1) % 10 if i % 7 == 0 else y) for i, v, y in rows]
+    found = registry.QUERIES["op12_bit_planes"](spark, "")
+    assert [t for _, t in found.dtypes] == ["bigint", "bigint", "int", "bigint", "bigint", "bigint"]
+    assert sorted(tuple(r) for r in found.collect()) == plain(moved, lambda i: i % 100 == 0)

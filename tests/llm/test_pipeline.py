@@ -70,6 +70,16 @@ def test_each_stage(spark, folder, tmp_path):
     assert sorted(map(str, P.run(spark, folder).collect())) == sorted(map(str, coded))
 
 
+def test_an_id_on_several_texts_is_judged_text_by_text(spark):
+    line = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, line), (2, line), (2, "a text of its own that nothing else resembles at all"), (2, None), (3, line + " end")]
+    rows += [(4, "twice the same row"), (4, "twice the same row"), (None, line), (5, "twice the same row")]
+    found = P.drop_near_copies(spark, docs(spark, rows), "").collect()
+    key = lambda r: (str(r[0]), str(r[1]))
+    expected = [rows[0], rows[2], rows[3], rows[5], rows[7]]
+    assert sorted(((r.doc_id, r.text) for r in found), key=key) == sorted(expected, key=key)
+
+
 def test_empty_tables(spark, tmp_path):
     docs(spark, []).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
@@ -80,10 +90,13 @@ def test_empty_tables(spark, tmp_path):
 @pytest.mark.parametrize("name", QUERIES)
 def test_queries_cover_their_tables(spark, name):
     df = QUERIES[name](spark, FOLDER)
-    of = {"op1": "embeddings", "op2": "pages", "op7": "pages"}.get(name.split("_")[0], "documents")
+    of = {"op1": "embeddings", "op2": "pages", "op7": "pages", "op12": "embeddings", "op13": "embeddings"}.get(name.split("_")[0], "documents")
     table = spark.read.parquet(f"{FOLDER}/{of}.parquet")
     if name.startswith("op1_"):
         assert df.count() == 10 * table.filter("vec_id % 100 = 0").count()
+    elif name.startswith("op12_"):
+        anchors = {r.vec_id for r in table.filter("vec_id % 100 = 0").collect()}
+        assert {r.anchor_id for r in df.collect()} == anchors
     else:
         key = table.columns[0]
         assert sorted(r[0] for r in df.select(key).collect()) == sorted(r[0] for r in table.select(key).collect())

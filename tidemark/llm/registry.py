@@ -6,6 +6,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    cross_polytope,
+    hard_negatives,
     kneser_ney,
     multiprobe,
     near_dup,
@@ -149,6 +151,16 @@ def op11_run_seeds(spark, folder):
     )
 
 
+def op12_bit_planes(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.select("vec_id", "embedding", label.alias("label")), "vec_id % 100 = 0")
+
+
+def op13_cross_polytope(spark, folder):
+    return cross_polytope.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def _bounded(query):
     """The query with bounded Arrow batches."""
 
@@ -172,7 +184,9 @@ _QUERIES = {
     "op9_pieces": op9_pieces,
     "op10_kneser_ney": op10_kneser_ney,
     "op11_run_seeds": op11_run_seeds,
+    "op12_bit_planes": op12_bit_planes,
+    "op13_cross_polytope": op13_cross_polytope,
 }
 QUERIES = {name: _bounded(query) for name, query in _QUERIES.items()}
 # The others search approximately, score with trained models or apply a library.
-ORACLE_SQL = {"op2_warc_zstd": sql.OP2, "op4_wu_manber": sql.OP4, "op5_bottom_k": sql.OP5}
+ORACLE_SQL = {"op2_warc_zstd": sql.OP2, "op4_wu_manber": sql.OP4, "op5_bottom_k": sql.OP5, "op12_bit_planes": sql.OP12}

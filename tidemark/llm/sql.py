@@ -65,3 +65,30 @@ WITH RECURSIVE d AS (
 )
 SELECT c.doc_id, coalesce(s.n, 0) AS n_shingles, c.component_id, c.doc_id = c.component_id AS kept
 FROM components c LEFT JOIN sizes s ON s.doc_id = c.doc_id"""
+
+OP12 = """
+WITH rows AS (
+    SELECT vec_id AS id,
+           CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.id AS anchor, a.label AS own, r.id, r.label,
+           CAST(list_sum(list_transform(list_zip(a.x, r.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM rows a JOIN rows r ON r.id <> a.id
+    WHERE a.id % 100 = 0
+), positives AS (
+    SELECT anchor, own, id AS positive, score AS positive_score
+    FROM scored WHERE own = label
+    QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor AS anchor_id, p.positive AS positive_id,
+       CAST(row_number() OVER w AS INTEGER) AS rank,
+       s.id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor = p.anchor AND s.label <> p.own
+WHERE 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+WINDOW w AS (PARTITION BY p.anchor, p.positive ORDER BY s.score DESC, s.id)
+QUALIFY row_number() OVER w <= 10
+"""

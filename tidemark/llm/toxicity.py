@@ -41,7 +41,7 @@ from tidemark.session import work_folder
 
 SAMPLE_ROWS, SAMPLE_BYTES, SAMPLE_TOTAL = 4000, 32 << 10, 8 << 20
 BASE, SIZES, GRAMS = 16 << 10, (128, 256, 512, 1024, 2048, 4096, 8192, 16384), (6, 8)
-FEATURES = 8
+FEATURES = 7
 WINDOW = 32
 # Bytes of difference that count before calibration.
 NEAR, FAR = 4.0, 8.0
@@ -104,7 +104,6 @@ class Lengths:
             float(top[-2:].mean()),
             float(top.mean()),
             float(found.mean()),
-            float(np.log(len(found))),
             10 * float(near.mean()),
             float(np.log1p(near.sum())),
             float(np.log1p((found > self.far).sum())),
@@ -224,7 +223,7 @@ def fit(texts, labels, sizes=SIZES, window=WINDOW):
         near, far = np.quantile(np.concatenate(plain), [0.99, 0.999]).tolist()
         lengths = Lengths(*parts, (window, near, far))
         x = np.array([lengths.of_differences(f) for f in found])
-        middle, spread = x.mean(axis=0), x.std(axis=0) + 1e-9
+        middle, spread = x.mean(axis=0), np.where(x.std(axis=0) > 1e-6, x.std(axis=0), 1.0)
         weights, loss = fit_logistic((x - middle) / spread, y)
         if best is None or loss < best[0]:
             slopes = weights[:-1] / spread
