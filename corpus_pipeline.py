@@ -15,44 +15,73 @@ PIECE_MODEL = "piece_bpe_32k.model"
 SHINGLE_WORDS = 5
 
 
+def _kept(df, name):
+    """The rows, written to the shared folder and read back."""
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def drop_toxic(spark, docs, sf_dir):
-    """Documents whose toxicity score is below one half. Learns from labelled rows of `docs`."""
+    """Documents whose toxicity score is below one half. Learns from labelled rows of `docs`.
+
+    Every row is judged by its own text, null and empty ones like texts without words, very long ones whole; repeated ids
+    and rows without id are no special case.
+    """
     learned = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) != 0
     model = toxicity.fit(*toxicity.labelled_sample(docs, table(spark, sf_dir, "labels").filter(learned)))
     return docs.filter(toxicity.scorer(model)("text") < 0.5)
 
 
+def _with_keys(docs):
+    """The documents with a column `_key` that tells different texts apart: the id, or a number of its own beyond all
+    usual ids for the further texts of an id that stands on several."""
+    mark = F.coalesce(F.xxhash64("text"), F.lit(0))
+    marks = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.min(mark).alias("_first"), F.max(mark).alias("_last"))
+    marks = _kept(marks.filter("_first <> _last").select("doc_id", "_first"), "shared-ids")
+    if marks.isEmpty():
+        return docs.withColumn("_key", F.col("doc_id"))
+    further = F.xxhash64("doc_id", mark).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    key = F.when(F.col("_first").isNull() | (F.col("_first") == mark), F.col("doc_id")).otherwise(further)
+    return docs.join(marks, "doc_id", "left").withColumn("_key", key).select(*docs.columns, "_key")
+
+
 def drop_near_copies(spark, docs, sf_dir):
     """One document of each group of near copies, that with the smallest id.
 
-    Ids that occur more than once keep one row (with the smallest text); rows without id stay.
+    Decisions are taken and applied per text: where an id stands on different texts, each is judged by itself, and
+    those after the first (by hash) come last among copies. Of rows with equal id and text one stays. Rows without id stay, and so do
+    texts that are null or have no words.
     """
-    path = work_folder(spark, "near-copies")
-    near_dup.near_duplicates(docs, size=SHINGLE_WORDS).write.parquet(path)
-    found = spark.read.parquet(path)
-    copies = found.filter("not kept").select("doc_id").distinct()
-    repeated = found.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    listed = work_folder(spark, "repeated-ids")
-    repeated.write.parquet(listed)
-    repeated = spark.read.parquet(listed)
-    docs = docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+    keyed = _with_keys(docs)
+    found = _kept(near_dup.near_duplicates(keyed, size=SHINGLE_WORDS, id_col="_key"), "near-copies")
+    copies = found.filter("not kept").select("_key").distinct()
+    repeated = found.filter("kept and _key is not null").groupBy("_key").count().filter("count > 1").select("_key")
+    repeated = _kept(repeated, "repeated-ids")
+    keyed = keyed.join(copies, "_key", "left_anti")
     if repeated.isEmpty():
-        return docs
-    others = [c for c in docs.columns if c != "doc_id"]
-    first = F.min(F.struct("text", *[c for c in others if c != "text"])).alias("row")
-    one = docs.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(first)
-    one = one.select(*[F.col("doc_id") if c == "doc_id" else F.col(f"row.{c}") for c in docs.columns])
-    return docs.join(repeated, "doc_id", "left_anti").select(docs.columns).union(one)
+        return keyed.select(docs.columns)
+    first = F.min(F.struct("text", *[c for c in docs.columns if c != "text"])).alias("row")
+    one = keyed.join(repeated, "_key", "left_semi").groupBy("_key").agg(first)
+    one = one.select(*[F.col(f"row.{c}") for c in docs.columns])
+    return keyed.join(repeated, "_key", "left_anti").select(docs.columns).union(one)
 
 
 def drop_contaminated(spark, docs, sf_dir):
-    """Documents without any window of a benchmark item."""
+    """Documents without any window of a benchmark item.
+
+    Texts that are null or have no words hold none and stay; very long texts are searched whole. Every row is judged
+    by its own text, whatever its id. Items without words match nothing.
+    """
     find = wu_manber.finder(table(spark, sf_dir, "benchmark"))
     return docs.filter(F.size(find("text").getField("items")) == 0)
 
 
 def mask_secrets(spark, docs, sf_dir):
-    """All documents, with secrets masked and `n_chars` counted again where a text changed."""
+    """All documents, with secrets masked and `n_chars` counted again where a text changed.
+
+    Null texts stay null, very long ones are scanned whole, and every row is masked by itself, whatever its id.
+    """
     model = secrets.train(docs, secrets.silver_findings(docs))
     masked = secrets.masker(model)(docs["text"]).alias("masked")
     rows = docs.select(F.struct(*docs.columns).alias("row"), masked)
@@ -62,7 +91,10 @@ def mask_secrets(spark, docs, sf_dir):
 
 
 def encode_pieces(spark, docs, sf_dir):
-    """Ids of every text, their number, and whether decoding gives the text back."""
+    """Ids of every text, their number, and whether decoding gives the text back.
+
+    Null texts are encoded like empty ones, very long ones whole; rows with equal ids are encoded one by one.
+    """
     model = pieces.read_model(public_tokenizers.path(PIECE_MODEL))
     coded = docs.withColumn("ids", pieces.encoder(model)("text"))
     return coded.select(
