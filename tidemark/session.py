@@ -13,8 +13,6 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Up to this many rows per group are cut before the shuffle in rankings.
-    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
 }
 
 
@@ -67,6 +65,40 @@ def exists(spark, path):
     return storage.exists(place)
 
 
+def write_text_once(spark, path, text):
+    """Write a small text file whole or not at all; False if it is there already."""
+    storage, place = _storage(spark, path)
+    if storage.exists(place):
+        return False
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.draft")
+    out = storage.create(draft, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+    if storage.rename(draft, place):
+        return True
+    storage.delete(draft, False)
+    return False
+
+
+def file_names(spark, folder, suffix=""):
+    """Sorted names in a folder; none if it is not there."""
+    storage, place = _storage(spark, folder)
+    if not storage.exists(place):
+        return []
+    names = [status.getPath().getName() for status in storage.listStatus(place)]
+    return sorted(name for name in names if name.endswith(suffix) and not name.startswith((".", "_")))
+
+
+def read_text(spark, path):
+    """Text of a small file."""
+    storage, place = _storage(spark, path)
+    stream = storage.open(place)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
 def remove_work_folders(spark):
     """Delete the work folders of this process; for the end of a job, when no frame reads them any more."""
     while _MADE:
