@@ -3,11 +3,12 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tidemark import plans
+from tidemark.operators import top_n_per_group
 from tidemark.registry import operators, pipelines
-from tidemark.session import DEFAULTS
 from tidemark.sources import videos, write_table
 
 FOLDER = "/root/testdata/sf0.001"
@@ -94,13 +95,61 @@ def test_texts_of_other_videos_are_not_aggregated(spark, table):
 def test_large_rankings_are_cut_before_the_shuffle(spark, table):
     key = "spark.sql.optimizer.windowGroupLimitThreshold"
     before = spark.conf.get(key)
-    spark.conf.set(key, DEFAULTS[key])
+    spark.conf.set(key, "1000000")
     try:
         assert "WindowGroupLimit" in physical(plans.top_tags_monthly(table, n=5000))
     finally:
         spark.conf.set(key, before)
 
 
+@pytest.mark.parametrize("n", [10, 1000, 5000])
+def test_rankings_need_no_session_setting(spark, n):
+    """Few rows are cut before the shuffle; more are ranked within slices of a group first."""
+    rows = spark.range(1000).selectExpr("id % 3 AS key", "id AS value")
+    plan = physical(top_n_per_group(rows, ["key"], ["value"], n, rank="rank"))
+    assert ("WindowGroupLimit" in plan) == (n < 1000)
+    assert plan.count("Exchange hashpartitioning(key") == (1 if n < 1000 else 2)
+    assert ("_slice" in plan) == (n >= 1000)
+
+
+def test_hot_group_of_a_large_ranking_is_ranked_in_several_tasks(spark):
+    rows = spark.range(0, 40_000, 1, 8).selectExpr("if(id % 10 < 9, 'hot', 'cold') AS key", "id AS value")
+    hot = rows.where("key = 'hot'")
+    part = F.pmod(F.xxhash64(F.spark_partition_id(), "key", "value"), F.lit(256))
+    sizes = [r["count"] for r in hot.groupBy(part).count().collect()]
+    assert len(sizes) == 256 and max(sizes) < 4 * 36_000 / 256
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        got = top_n_per_group(rows, ["key"], ["value"], 2000, rank="rank").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    expected = [("hot", r.value, i) for i, r in enumerate(hot.orderBy("value").limit(2000).collect(), 1)]
+    assert sorted(tuple(r) for r in got if r.key == "hot") == expected
+    assert sum(r.key == "cold" for r in got) == 2000
+
+
+@pytest.mark.parametrize("dedupe", ["day", "period"])
+def test_periods_are_spread_above_the_sums_only(table, dedupe):
+    plan = physical(plans.period_tag_counts(table, dedupe))
+    spread = plan.index("Generate explode(sequence")
+    assert "HashAggregate" not in plan[:spread] and plan.count("explode(sequence") == 1
+    assert "functions=[sum(change" in plan[spread:]
+
+
+def test_rows_of_tags_that_never_win_are_not_shuffled_for_members(table):
+    plan = physical(plans.top_tag_videos(table))
+    semi = plan.index("LeftSemi")
+    distinct = re.search(r"HashAggregate\(keys=\[video_id#\d+, tag#\d+, date#\d+\], functions=\[\]", plan)
+    assert distinct.start() < semi and "BroadcastHashJoin" in plan[semi - 200 : semi + 20]
+
+
+def test_plain_numbers_meet_no_pattern(spark):
+    """The plain cast comes first, and the patterns only run where it gives null."""
+    plan = physical(plans.normalize_videos(videos(spark, FOLDER)).select("likes"))
+    assert re.search(r"coalesce\((try_)?cast\([^()]+ as bigint\), (try_)?cast\(regexp_replace", plan)
+
+
 def test_hot_key_of_the_chained_join_is_split(spark, monkeypatch):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",

@@ -12,10 +12,13 @@ DECIMALS = r"(?<=[0-9])\.[0-9]*(?=[\x00-\x20]*$)"
 
 
 def to_long(text):
-    """Text to long: decimal text is cut to its whole part, other text gives null."""
+    """Text to long: decimal text is cut to its whole part, other text gives null.
+
+    The patterns are for decimals only: text that the plain cast takes never meets them.
+    """
     text = F.col(text) if isinstance(text, str) else text
     whole = F.regexp_replace(text, WITHOUT_WHOLE_PART, "$10")
-    return F.regexp_replace(whole, DECIMALS, "").try_cast("long")
+    return F.coalesce(text.try_cast("long"), F.regexp_replace(whole, DECIMALS, "").try_cast("long"))
 
 
 def ratio(numerator, denominator):

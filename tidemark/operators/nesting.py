@@ -31,7 +31,8 @@ def nest(df, keys, item, name, copies=None, max_items=MAX_ITEMS):
         .select(*keys, "_item", count.cast("long").alias("_n"))
         .groupBy(*keys, "_item")
         .agg(F.sum("_n").alias("_n"))
-        .repartitionByRange(*keys, "_item")
+        # By hash of the keys: keys may be long texts, and ranges are found from a sample in the driver.
+        .repartitionByRange(F.xxhash64(*keys), "_item")
         .withColumn("_range", F.spark_partition_id())
     )
     path = work_folder(spark, "pages")

@@ -4,19 +4,34 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 
-def top_n_per_group(df, keys, order, n, rank=None):
+# Slices of a group that is ranked in two steps.
+SLICES = 256
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+
+
+def _first_rows(df, keys, order, n, name):
+    window = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn(name, F.row_number().over(window)).where(F.col(name) <= n)
+
+
+def top_n_per_group(df, keys, order, n, rank=None, slices=SLICES):
     """Keep the `n` first rows of every group, in `order`.
 
-    The rank filter sits directly on `row_number`, so Spark keeps at most `n` rows per
-    group and map task before the shuffle (`WindowGroupLimit`). A hot group therefore
-    never reaches one task whole. Spark does so up to
-    `spark.sql.optimizer.windowGroupLimitThreshold`, which `get_session` raises from 1000. End `order` in a unique key, or ties fall at random.
+    The rank filter sits directly on `row_number`, so for small `n` Spark keeps at most `n` rows per group and map
+    task before the shuffle (`WindowGroupLimit`). From the session's threshold for that on, groups are ranked in two
+    steps instead: first within slices of a group, by a hash of the row and its task, then over the first `n` rows
+    of each of at most `slices` slices. Either way a hot group is spread over tasks and never reaches one
+    whole, whatever the session's settings are. End `order` in a unique key, or ties fall at random.
 
     `rank` names an output column for the position; without it the position is dropped.
     """
     name = rank or "_position"
-    window = Window.partitionBy(*keys).orderBy(*order)
-    ranked = df.withColumn(name, F.row_number().over(window)).where(F.col(name) <= n)
+    if n >= int(df.sparkSession.conf.get(GROUP_LIMIT)):
+        # Maps and variants have no hash.
+        parts = [F.col(f.name) for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+        piece = F.pmod(F.xxhash64(F.spark_partition_id(), *parts), F.lit(slices))
+        df = _first_rows(df.withColumn("_slice", piece), [*keys, "_slice"], order, n, name).drop("_slice", name)
+    ranked = _first_rows(df, keys, order, n, name)
     return ranked.withColumn(rank, F.col(rank).cast("long")) if rank else ranked.drop(name)
 
 

@@ -17,14 +17,16 @@ from tidemark.plans.channels import (
     top_trending_channels,
 )
 from tidemark.plans.normalize import normalize_videos
-from tidemark.plans.profile import preview, row_count
+from tidemark.plans.profile import observed, preview, profile_of, row_count, write_profiled
 from tidemark.plans.tags import period_tag_counts, tag_days, top_tag_videos, top_tags_monthly
 from tidemark.plans.videos import top_trending_videos, trending_days
 
 __all__ = [
     "normalize_videos",
+    "observed",
     "period_tag_counts",
     "preview",
+    "profile_of",
     "row_count",
     "tag_days",
     "top_category_videos",
@@ -40,4 +42,5 @@ __all__ = [
     "trending_days",
     "weekly_category_views",
     "weekly_gains",
+    "write_profiled",
 ]

@@ -5,9 +5,13 @@ from pyspark.sql import functions as F
 
 from tidemark.fixed import PERIOD_DAYS, TOP_TAGS
 from tidemark.functions import period_ends, period_start
-from tidemark.operators import explode_tags, null_safe_join, top_n_per_group
+from tidemark.operators import explode_tags, top_n_per_group
 
 DEDUPE = ("day", "period")
+# Snapshot dates have two-digit years: 100 years and one period hold at most this many end dates.
+MAX_PERIODS = 36_600
+# 8 bytes each.
+MOST_HASHES = 1_000_000
 
 
 def tag_days(videos):
@@ -35,24 +39,30 @@ def _covers(days, dedupe, period):
 
 
 def period_tag_counts(videos, dedupe="day", days=PERIOD_DAYS):
-    """Number of videos per (tag, period).
+    """Number of videos per (tag, period), by differences.
 
-    Rows are counted per (tag, first end, last end) before they are spread over the
-    periods, so the growth is at most `days` times the few (tag, date) counts and not the
-    table. These counts are then placed by tag once, and summed per period in place.
+    A row counts for all periods between two end dates, so it adds one at the first of them and takes one away
+    after the last. The changes are summed per (tag, date), which combines map-side; their running sum
+    over the dates of a tag is the number of videos from one change to the next. Only the sums are spread over the
+    dates in between, one row per (tag, period) that exists. A tag has at most one change per date.
     """
     if dedupe not in DEDUPE:
         raise ValueError(f"dedupe must be one of {DEDUPE}")
-    counts = (
-        _covers(tag_days(videos), dedupe, days)
-        .groupBy("tag", "first_end", "last_end")
-        .agg(F.count("video_id").alias("n"))
+    covers = _covers(tag_days(videos), dedupe, days).where(F.col("first_end").isNotNull() & (F.col("first_end") <= F.col("last_end")))
+    enters = F.struct(F.col("first_end").alias("date"), F.lit(1).alias("change"))
+    leaves = F.struct(F.date_add("last_end", 1).alias("date"), F.lit(-1).alias("change"))
+    changes = (
+        covers.select("tag", F.inline(F.array(enters, leaves)))
+        .groupBy("tag", "date")
+        .agg(F.sum("change").alias("change"))
     )
+    dates = Window.partitionBy("tag").orderBy("date")
+    running = F.sum("change").over(dates.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    spans = changes.select("tag", "date", running.alias("number_of_videos"), F.lead("date").over(dates).alias("until"))
+    ends = F.explode(period_ends(F.col("date"), F.date_sub("until", 1))).alias("end_date")
     return (
-        counts.repartition("tag")
-        .select("tag", F.explode(period_ends(F.col("first_end"), F.col("last_end"))).alias("end_date"), "n")
-        .groupBy("tag", "end_date")
-        .agg(F.sum("n").alias("number_of_videos"))
+        spans.where("number_of_videos > 0")
+        .select("tag", ends, "number_of_videos")
         .withColumn("start_date", period_start("end_date", days))
     )
 
@@ -73,15 +83,18 @@ def top_tag_videos(videos, dedupe="day", n=TOP_TAGS, days=PERIOD_DAYS):
     """The videos counted in `top_tags_monthly`, one row each, with their days in the period.
 
     The join is an equi-join on (tag, date): each winning tag is spread over the dates of
-    its period, instead of comparing every date with every period.
+    its period, instead of comparing every date with every period. Rows of tags that win no period are dropped before
+    anything is shuffled: hashes of the winning tags are broadcast, at most `n` per period, and so few that
+    a chance match of hashes only costs a row that the join drops.
     """
     top = top_tags_monthly(videos, dedupe, n, days)
     wanted = top.withColumn(
         "date", F.explode(F.sequence(F.date_sub("end_date", days - 1), F.col("end_date")))
     )
+    rows = explode_tags(videos, distinct=True).select("video_id", "tag", "date")
+    winners = top.select(F.xxhash64("tag").alias("_tag")).distinct()
+    winners = F.broadcast(winners) if n * MAX_PERIODS <= MOST_HASHES else winners
+    rows = rows.withColumn("_tag", F.xxhash64("tag")).join(winners, "_tag", "left_semi").drop("_tag").distinct()
     keys = ["start_date", "end_date", "rank", "tag", "number_of_videos", "video_id"]
-    return (
-        null_safe_join(tag_days(videos), wanted, ["tag", "date"])
-        .groupBy(*keys)
-        .agg(F.count("*").alias("days"))
-    )
+    # Neither side has null tags, and rows without a date are in no period.
+    return rows.join(wanted, ["tag", "date"]).groupBy(*keys).agg(F.count("*").alias("days"))

@@ -9,9 +9,14 @@ from tidemark.registry.base import VIDEOS_SQL, typed_videos
 from tidemark.session import work_folder
 from tidemark.sources import (
     categories,
+    explode_items,
     flatten_categories,
-    read_categories,
+    found_schema,
+    item_fields,
     messages,
+    parse_documents,
+    read_categories,
+    read_documents,
     read_transactions,
     read_tweets,
     read_videos,
@@ -59,16 +64,67 @@ def scan_videos_csv(spark, folder):
     return read_videos(spark, path)
 
 
-def read_category_documents(spark, folder):
-    """Customers as items of one JSON document per nation, each a file over many lines."""
+# Customers of a nation that share a document.
+DOCUMENT_KEYS = 500
+
+
+def _category_documents(spark, folder, **more):
+    """Customers as items of JSON documents over many lines, one per nation and range of keys, each a file."""
     item = F.struct(
-        F.col("c_custkey").cast("string").alias("id"), F.struct(F.col("c_name").alias("title")).alias("snippet")
+        F.col("c_custkey").cast("string").alias("id"),
+        F.struct(F.col("c_name").alias("title")).alias("snippet"),
+        *[F.col(column).alias(name) for name, column in more.items()],
     )
-    nations = table(spark, folder, "customer").groupBy("c_nationkey").agg(F.collect_list(item).alias("items"))
+    slices = F.expr(f"c_custkey div {DOCUMENT_KEYS}").alias("slice")
+    nations = table(spark, folder, "customer").groupBy("c_nationkey", slices).agg(F.collect_list(item).alias("items"))
     path = work_folder(spark, "category-documents")
-    text = F.to_json(F.struct("items"), {"pretty": "true"}).alias("value")
+    text = F.to_json(F.struct(F.col("c_nationkey").alias("nation"), "items"), {"pretty": "true"}).alias("value")
     nations.select(text).write.option("maxRecordsPerFile", 1).text(path)
-    return read_categories(spark, path)
+    return path
+
+
+def read_category_documents(spark, folder):
+    """Documents read with their declared schema."""
+    return read_categories(spark, _category_documents(spark, folder))
+
+
+def read_variant_documents(spark, folder):
+    """The same documents without a declared schema; `segment` is in no schema of this library."""
+    path = _category_documents(spark, folder, segment="c_mktsegment")
+    documents = read_documents(spark, path).withColumn("nation", F.try_variant_get("document", "$.nation", "long"))
+    items = explode_items(documents, keep=["nation"])
+    fields = {"id": ("$.id", "long"), "title": ("$.snippet.title", "string"), "segment": ("$.segment", "string")}
+    return item_fields(items, fields, keep=["nation"])
+
+
+def find_fields(spark, folder):
+    """Fields of JSON texts, found by reading: event properties of the given table beside fields that few rows have."""
+    events = table(spark, folder, "events")
+    rare = F.when(F.col("event_id") % 1000 == 0, F.col("event_id"))
+    text = F.to_json(F.struct("event_id", "event_type", rare.alias("rare"))).alias("value")
+    return found_schema(parse_documents(events.select(text)))
+
+
+def profile_table(spark, folder):
+    """Profile of the transactions, taken while they are written."""
+    rows = transactions(spark, folder).withColumn("amount", F.when(F.col("step") > 3, F.col("amount")))
+    found = plans.write_profiled(rows.select("step", "type", "amount", "nameDest"), work_folder(spark, "profiled"))
+    return found.select("column", "type", "n_rows", "n_nulls", "least", "greatest")
+
+
+PROFILE_TABLE_SQL = """
+WITH rows AS (
+    SELECT CAST(o_orderkey % 744 AS INTEGER) AS step, o_orderpriority AS type,
+           CASE WHEN o_orderkey % 744 > 3 THEN o_totalprice END AS amount,
+           'M' || CAST(o_orderkey AS VARCHAR) AS "nameDest"
+    FROM orders
+)
+SELECT 'step' AS "column", 'int' AS type, count(*) AS n_rows, count(*) - count(step) AS n_nulls,
+       CAST(min(step) AS VARCHAR) AS least, CAST(max(step) AS VARCHAR) AS greatest FROM rows
+UNION ALL SELECT 'type', 'string', count(*), count(*) - count(type), min(type), max(type) FROM rows
+UNION ALL SELECT 'amount', 'double', count(*), count(*) - count(amount),
+       CAST(min(amount) AS VARCHAR), CAST(max(amount) AS VARCHAR) FROM rows
+UNION ALL SELECT 'nameDest', 'string', count(*), count(*) - count("nameDest"), min("nameDest"), max("nameDest") FROM rows"""
 
 
 def flatten_items(spark, folder):
@@ -292,6 +348,16 @@ QUERIES = {
         "SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS title FROM customer",
     ),
     "flatten_items": (flatten_items, FLATTEN_ITEMS_SQL),
+    "read_variant_documents": (
+        read_variant_documents,
+        """SELECT CAST(c_nationkey AS BIGINT) AS nation, CAST(c_custkey AS BIGINT) AS id, c_name AS title,
+                  c_mktsegment AS segment FROM customer""",
+    ),
+    "find_fields": (
+        find_fields,
+        """SELECT count(*) AS n_documents, 'OBJECT<event_id: BIGINT, event_type: STRING, rare: BIGINT>' AS schema FROM events""",
+    ),
+    "profile_table": (profile_table, PROFILE_TABLE_SQL),
     "row_count": (row_count, "SELECT count(*) AS n_rows FROM lineitem"),
     "project_rename": (
         project_rename,

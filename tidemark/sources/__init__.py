@@ -1,5 +1,6 @@
 """Readers and writers."""
 
+from tidemark.sources.documents import explode_items, found_schema, item_fields, parse_documents, read_category_items, read_documents
 from tidemark.sources.files import (
     flatten_categories,
     read_categories,
@@ -15,11 +16,17 @@ from tidemark.sources.tables import categories, messages, table, transactions, t
 
 __all__ = [
     "categories",
+    "explode_items",
     "flatten_categories",
+    "found_schema",
+    "item_fields",
     "message_reader",
     "message_writer",
     "messages",
+    "parse_documents",
     "read_categories",
+    "read_category_items",
+    "read_documents",
     "read_table",
     "read_transactions",
     "read_tweets",
