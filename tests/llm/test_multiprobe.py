@@ -51,6 +51,7 @@ def test_recall_and_exact_scores(spark):
 
 def test_all_buckets_give_exact_results(spark, monkeypatch):
     monkeypatch.setattr(A, "BLOCK_ROWS", 10)
+    monkeypatch.setattr(A, "WHOLE_ROWS", 10)
     random = np.random.default_rng(2)
     x = np.round(random.standard_normal((150, 4)), 1)
     x[40:90] = [1, 2, 3, 4]
@@ -60,6 +61,54 @@ def test_all_buckets_give_exact_results(spark, monkeypatch):
     assert {q: [j for _, j in b] for q, b in got.items()} == {q: [j for _, j in b] for q, b in want.items()}
 
 
+def clustered(n=5000, dim=32):
+    """Nine tenths of the rows in five tight clusters, the others apart; ids of both kinds are asked."""
+    random = np.random.default_rng(8)
+    x = random.standard_normal((n, dim))
+    centres = random.standard_normal((5, dim)) * 3
+    x[: n * 9 // 10] = centres[np.arange(n * 9 // 10) % 5] + 0.01 * x[: n * 9 // 10]
+    return [(int(i), v.tolist(), 0) for i, v in zip(random.permutation(n), x.astype(np.float32))], n * 9 // 10
+
+
+def test_every_query_gets_its_rows_where_clusters_are_tight(spark):
+    rows, tight = clustered()
+    got, asked = found(table(spark, rows), "vec_id % 50 = 0"), lambda i: i % 50 == 0
+    x = np.array([v for _, v, _ in rows])
+    ids = np.array([i for i, _, _ in rows])
+    recall = {True: [], False: []}
+    for at, (i, v, _) in enumerate(rows):
+        if asked(i):
+            d = np.sqrt(np.square(x - np.array(v)).sum(axis=1))
+            order = [j for j in np.lexsort((ids, d)) if j != at][:10]
+            assert len(got[i]) == 10
+            recall[at < tight].append(len({int(ids[j]) for j in order} & {j for _, j in got[i]}) / 10)
+    assert len(recall[False]) >= 5 and np.mean(recall[True] + recall[False]) >= 0.95
+    assert np.mean(recall[False]) >= 0.9
+
+
+@pytest.mark.parametrize("n", [3, 11, 400])
+def test_small_tables_are_exact_with_the_parameters_of_the_query(spark, n):
+    random = np.random.default_rng(n)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(random.standard_normal((n, 16)).astype(np.float32))]
+    got, want = found(table(spark, rows), "vec_id % 2 = 0"), plain(rows, lambda i: i % 2 == 0)
+    assert {q: [j for _, j in b] for q, b in got.items()} == {q: [j for _, j in b] for q, b in want.items()}
+
+
+def test_comparison_in_blocks_is_exact(spark, monkeypatch):
+    monkeypatch.setattr(A, "PIECE_ROWS", 40)
+    monkeypatch.setattr(A, "ASKED_ROWS", 7)
+    random = np.random.default_rng(9)
+    x = np.round(random.standard_normal((300, 6)), 1)
+    x[50:120] = x[50]
+    rows = [(i % 280, v.tolist(), 0) for i, v in enumerate(x)]
+    frame = A.usable(table(spark, rows, "double"), "vec_id", "embedding")
+    best = A._best(A._compare_all(frame, frame.filter("id % 10 = 0"), 10), 10).collect()
+    got = {}
+    for r in sorted(best, key=lambda r: (r.query_id, r.rank)):
+        got.setdefault(r.query_id, []).append(r.id)
+    assert got == {q: [j for _, j in b] for q, b in plain(rows, lambda i: i % 10 == 0).items()}
+
+
 def test_awkward_rows(spark):
     rows = [
         (0, [1.0, 0.0], 0),
