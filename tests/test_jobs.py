@@ -40,6 +40,20 @@ def test_profile(spark, tmp_path, capsys):
     assert f"{frame.count():,} rows in total" in capsys.readouterr().out
 
 
+def test_profile_as_a_table(spark, tmp_path):
+    frame = sources.transactions(spark, "/root/testdata/sf0.001")
+    sources.write_csv(frame, str(tmp_path / "t"))
+    jobs.main(["profile", "--transactions", str(tmp_path / "t"), "--out", str(tmp_path / "o")])
+    found = {r.column: r for r in spark.read.json(str(tmp_path / "o" / "profile")).collect()}
+    assert found["step"].n_rows == frame.count() == spark.read.parquet(str(tmp_path / "o" / "table")).count()
+    assert found["nameOrig"].n_nulls == 0 and found["isFraud"].greatest == "1"
+
+
+def test_compact_without_files(spark, tmp_path, capsys):
+    jobs.main(["compact", "--out", str(tmp_path), "--before", "2024_01_01_00_00_00"])
+    assert "0 minutes merged" in capsys.readouterr().out
+
+
 def test_message_jobs_reach_the_connector(spark, tmp_path):
     (tmp_path / "t.csv").write_text(
         "tweet_id,author_id,inbound,created_at,text,response_tweet_id,in_response_to_tweet_id\n1,a,True,x,hi,,\n"

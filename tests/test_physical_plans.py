@@ -86,12 +86,19 @@ def test_best_snapshots_are_hash_aggregated(table):
 
 def test_texts_of_other_videos_are_not_aggregated(spark, table):
     plan = physical(plans.top_trending_channel_videos(table))
-    texts = re.search(r"keys=\[video_id#\d+, title#\d+, description#\d+\], functions=\[partial_count", plan)
-    assert texts.start() < plan.index("LeftSemi")
+    texts = re.search(r"keys=\[video_id#\d+, title#\d+, description#\d+, channels#\d+\], functions=\[partial_count", plan)
+    assert texts.start() < plan.index("Join")
     totals = physical(plans.top_trending_channels(table))
     assert len(schemas_read(totals)) == 1
 
 
+def test_members_of_trending_channels_are_found_and_joined_once(table):
+    plan = physical(plans.top_trending_channel_videos(table))
+    assert plan.count("Generate explode(channels") == 1 and "LeftSemi" not in plan
+    reads = [columns for columns in schemas_read(plan) if "title" in columns]
+    assert reads == [{"video_id", "title", "description"}] and len(schemas_read(plan)) == 3
+
+
 def test_large_rankings_are_cut_before_the_shuffle(spark, table):
     key = "spark.sql.optimizer.windowGroupLimitThreshold"
     before = spark.conf.get(key)

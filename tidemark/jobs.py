@@ -6,7 +6,6 @@ from tidemark import plans, sources, streaming
 from tidemark.fixed import TOPIC
 from tidemark.plans import documents
 from tidemark.session import get_session, remove_work_folders, work_folder
-from tidemark.streaming.replay import ROWS_PER_STEP
 
 
 def analyses(spark, args):
@@ -33,31 +32,40 @@ def analyses(spark, args):
 
 
 def profile(spark, args):
-    """Schema, first rows and row count of a transaction file."""
-    plans.preview(sources.read_transactions(spark, args.transactions))
+    """Schema, first rows and row count of a transaction file; with --out also a table and its profile."""
+    rows = sources.read_transactions(spark, args.transactions)
+    plans.preview(rows)
+    if args.out:
+        plans.write_profiled(rows, f"{args.out}/table").coalesce(1).write.json(f"{args.out}/profile")
 
 
 def replay(spark, args):
-    """Send tweets as messages at the fixed pace; stops when all have been sent."""
-    query = streaming.replay(
-        spark,
-        sources.read_tweets(spark, args.tweets),
-        args.progress,
-        lambda messages: sources.message_writer(messages, args.servers, args.topic),
-        args.rows_per_step,
-    )
-    query.processAllAvailable()
-    query.stop()
+    """Send tweets as messages at the fixed pace; stops when all have been sent.
+
+    Batches are logged, and records that cannot be sent set aside, below the progress folder.
+    """
+    topic = streaming.topic_sender(lambda messages: sources.message_writer(messages, args.servers, args.topic))
+    send = streaming.acknowledged(topic, f"{args.progress}/delivery")
+    streaming.replay_paced(spark, sources.read_tweets(spark, args.tweets), args.progress, send).wait()
 
 
 def minutes(spark, args):
-    """Write the messages of a topic to one folder of CSV files per minute, until stopped."""
+    """Write the messages of a topic to one folder of CSV files per minute below `out/raw`, until stopped.
+
+    Positions of the committed batches go to the progress folder. `compact` merges the files of closed minutes.
+    """
     messages = streaming.decode_messages(
         sources.message_reader(
             spark, args.servers, args.topic, starting_offsets=args.start, max_offsets_per_trigger=args.batch
         )
     )
-    streaming.write_minute_files(messages, args.out, args.progress).awaitTermination()
+    spark.streams.addListener(streaming.PositionLog(spark, f"{args.progress}/positions", args.topic))
+    streaming.write_minute_files(messages, f"{args.out}/raw", f"{args.progress}/stream", name=args.topic).awaitTermination()
+
+
+def compact(spark, args):
+    """Merge the files of all minutes before a minute key (`2024_01_31_23_59_00`) to one file each."""
+    print(f"{streaming.compact_minutes(spark, args.out, args.before):,} minutes merged")
 
 
 def parser():
@@ -70,13 +78,14 @@ def parser():
         for name in required:
             sub.add_argument(f"--{name}", required=True)
         for name, default in optional.items():
-            kind = int if name in ("rows_per_step", "batch") else str
+            kind = int if name == "batch" else str
             sub.add_argument(f"--{name.replace('_', '-')}", default=default, type=kind)
 
     add(analyses, "videos", "categories", out=None, dedupe="day")
-    add(profile, "transactions")
-    add(replay, "tweets", "servers", "progress", topic=TOPIC, rows_per_step=ROWS_PER_STEP)
+    add(profile, "transactions", out=None)
+    add(replay, "tweets", "servers", "progress", topic=TOPIC)
     add(minutes, "servers", "out", "progress", topic=TOPIC, start="latest", batch=None)
+    add(compact, "out", "before")
     return top
 
 

@@ -89,19 +89,21 @@ def top_trending_channels(videos, limit=TOP_TRENDING_CHANNELS, rank=None):
 def top_trending_channel_videos(videos, limit=TOP_TRENDING_CHANNELS, rank=None):
     """The video versions summed in `top_trending_channels`, one row each.
 
-    Rows of videos that no leading channel has are dropped before titles and descriptions
-    are shuffled.
+    A video's leading channels, at most `limit`, travel as one array, so the members are found once and joined once.
+    Rows of videos that no leading channel has are dropped before titles and descriptions are counted and shuffled.
     """
     top = top_trending_channels(videos, limit, rank).withColumnRenamed("channel_name", "channel_title")
     named = [rank] if rank and limit else []
     pairs = _video_channels(videos).select("video_id", "channel_title")
     members = join_small(pairs, top, ["channel_title"], rows=limit)
-    rows = null_safe_join(videos, members.select("video_id").distinct(), ["video_id"], "left_semi")
-    versions = rows.groupBy("video_id", "title", "description").agg(F.count("*").alias("trending_days"))
-    return null_safe_join(versions, members, ["video_id"]).select(
-        *named,
-        F.col("channel_title").alias("channel_name"),
-        "total_trending_days",
+    channel = F.struct(*named, "channel_title", "total_trending_days")
+    channels = members.groupBy("video_id").agg(F.sort_array(F.collect_list(channel)).alias("channels"))
+    rows = null_safe_join(videos.select("video_id", "title", "description"), channels, ["video_id"])
+    versions = rows.groupBy("video_id", "title", "description", "channels").agg(F.count("*").alias("trending_days"))
+    return versions.withColumn("channel", F.explode("channels")).select(
+        *[F.col(f"channel.{name}") for name in named],
+        F.col("channel.channel_title").alias("channel_name"),
+        "channel.total_trending_days",
         "video_id",
         F.col("title").alias("video_title"),
         "trending_days",

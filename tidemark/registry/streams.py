@@ -1,6 +1,7 @@
 """Messages. The stream queries run a real stream over all events until it has caught up."""
 
 import uuid
+from datetime import datetime, timezone
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -25,6 +26,15 @@ def encode_json(spark, folder):
     return streaming.encode_messages(messages(spark, folder), created_at="created_at")
 
 
+def utc_stamps(spark, folder):
+    """Messages stamped while they are sent; the stamp lies inside the run."""
+    sent, now = work_folder(spark, "stamped"), lambda: datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+    before = now()
+    streaming.encode_messages(messages(spark, folder)).write.text(sent)
+    inside = F.col("created_at").between(before, now())
+    return streaming.decode_messages(spark.read.text(sent)).select("tweet_id", inside.alias("stamped_in_run"))
+
+
 def _message_stream(spark, folder):
     """All messages written as text files, read back as a stream and decoded."""
     topic = work_folder(spark, "topic")
@@ -170,6 +180,7 @@ QUERIES = {
         f"""{MESSAGES_SQL} SELECT CAST(json_object('tweet_id', tweet_id, 'created_at',
             strftime(sent, '%Y-%m-%d %H:%M:%S'), 'text', text) AS VARCHAR) AS value FROM messages""",
     ),
+    "utc_stamps": (utc_stamps, f"{MESSAGES_SQL} SELECT tweet_id, true AS stamped_in_run FROM messages"),
     "stream_decode": (
         stream_decode,
         f"""{MESSAGES_SQL} SELECT tweet_id, strftime(sent, '%Y-%m-%d %H:%M:%S') AS created_at, text

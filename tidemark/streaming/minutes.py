@@ -30,7 +30,7 @@ def minute_counts(messages, delay=None):
     )
 
 
-def write_minute_files(messages, folder, checkpoint, **trigger):
+def write_minute_files(messages, folder, checkpoint, name=None, **trigger):
     """Start a stream that writes headerless CSV (tweet_id, minute, text) below `minute=<key>/`.
 
     No state is kept, so late messages join their minute and the last minute is written
@@ -43,9 +43,10 @@ def write_minute_files(messages, folder, checkpoint, **trigger):
         "text",
         minute_key("created_at").alias("minute"),
     )
+    writer = rows.hint("rebalance", "minute").writeStream
     return (
-        rows.hint("rebalance", "minute")
-        .writeStream.format("csv")
+        (writer.queryName(name) if name else writer)
+        .format("csv")
         .options(header=False, **CSV_OPTIONS)
         .partitionBy("minute")
         .option("checkpointLocation", checkpoint)
