@@ -72,11 +72,11 @@ def test_scores_match_plain_model_and_sum_to_one(spark):
 
 
 def test_many_buckets_and_frequent_words(spark, monkeypatch):
-    monkeypatch.setattr(L, "ROWS_PER_BUCKET", 20)
+    training = sentences(300) + ["W0 " * 400]
+    monkeypatch.setattr(L, "BUCKET_BYTES", sum(map(len, training)) // 15)
     monkeypatch.setattr(L, "SAMPLED", 1)
     monkeypatch.setattr(L, "HELD_TOKENS", 500)
     monkeypatch.setattr(L, "SCORED_TOKENS", 200)
-    training = sentences(300) + ["W0 " * 400]
     check(spark, training, sentences(40, seed=9))
     model = L.train(docs(spark, list(enumerate(training))))
     assert model.buckets == 16 and len(model.frequent)

@@ -1,6 +1,7 @@
 """Arrays in files of the shared folder, written by tasks and mapped into memory by other tasks."""
 
 import uuid
+from collections import OrderedDict
 from functools import lru_cache
 
 import numpy as np
@@ -28,14 +29,28 @@ def save(folder, name, arrays):
 
 
 @lru_cache(maxsize=4096)
+def _mapped(place):
+    return np.memmap(place, np.uint8, "r")
+
+
+# Files that cannot be mapped, the last used at the end: at most `READ_BYTES`, or one file that is larger.
+_READ, READ_BYTES = OrderedDict(), 256 << 20
+
+
+def _read(source, place):
+    if place not in _READ:
+        with source.open_input_stream(place) as file:
+            _READ[place] = np.frombuffer(file.read(), np.uint8)
+        while len(_READ) > 1 and sum(map(len, _READ.values())) > READ_BYTES:
+            _READ.popitem(last=False)
+    _READ.move_to_end(place)
+    return _READ[place]
+
+
 def load(path, types, rows):
     """Arrays of a file: mapped where it is local or mounted, read otherwise."""
     source, place = _place(path)
-    if isinstance(source, fs.LocalFileSystem):
-        data = np.memmap(place, np.uint8, "r")
-    else:
-        with source.open_input_stream(place) as file:
-            data = np.frombuffer(file.read(), np.uint8)
+    data = _mapped(place) if isinstance(source, fs.LocalFileSystem) else _read(source, place)
     columns, at = [], 0
     for kind in types:
         size = rows * np.dtype(kind).itemsize
