@@ -94,3 +94,19 @@ def test_utc_now_text(spark):
     assert re.fullmatch(r"\d{4}-\d\d-\d\d \d\d:\d\d:\d\d", utc)
     assert tokyo[:13] <= utc[:13] and utc[:10] >= tokyo[:10]
     assert abs(int(tokyo[11:13]) - int(utc[11:13])) in (0, 1, 23)
+
+
+def test_pairs_are_packed_in_their_order(spark):
+    """Quotients of extreme, equal and missing longs, with numbers of any size, against the order of tuples."""
+    source = random.Random(3)
+    longs = [0, 1, -1, 2**63 - 1, -(2**63), 3, 7, 10, 97, 2**52, 2**53 - 1, 2**53 + 1]
+    longs += [source.randrange(-(2**63), 2**63) for _ in range(20)] + [source.randrange(100) for _ in range(20)]
+    rows = [(a, b, v) for a in longs for b in longs for v in source.sample(longs, 2)] + [(None, 1, 5), (1, None, None), (5, 2, None)]
+    frame = spark.createDataFrame(rows, "a long, b long, v long").withColumn("q", F.try_divide("a", "b"))
+    frame = frame.withColumn("packed", C.pair_order("q", "v")).withColumn("back", C.number_of_pair("packed"))
+    found = frame.collect()
+    assert all(r.back == r.v for r in found)
+    key = lambda r: (r.q is not None, r.q or 0.0, r.v is not None, r.v or 0)
+    found.sort(key=key)
+    for a, b in zip(found, found[1:]):
+        assert (key(a) < key(b)) == (a.packed < b.packed) and (key(a) == key(b)) == (a.packed == b.packed)

@@ -119,6 +119,13 @@ def test_rankings_need_no_session_setting(spark, n):
     assert ("_slice" in plan) == (n >= 1000)
 
 
+def test_best_snapshots_of_categories_are_hash_aggregated(table, titles):
+    """Nothing is sorted below the aggregate, and there is no aggregate by sort."""
+    plan = physical(plans.top_category_videos(table, titles))
+    below = plan[plan.rindex("HashAggregate(keys=[category_id") :].split("FileScan")[0]
+    assert "SortAggregate" not in plan and "Sort [" not in below and "partial_max" in below
+
+
 def test_hot_group_of_a_large_ranking_is_ranked_in_several_tasks(spark):
     rows = spark.range(0, 40_000, 1, 8).selectExpr("if(id % 10 < 9, 'hot', 'cold') AS key", "id AS value")
     hot = rows.where("key = 'hot'")

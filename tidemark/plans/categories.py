@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tidemark.fixed import MIN_VIEWS, TOP_CATEGORY_VIDEOS, WEEK_MIN_APPEARANCES
-from tidemark.functions import ratio, week_end, week_start
+from tidemark.functions import number_of_pair, pair_order, ratio, week_end, week_start
 from tidemark.operators import cumulative_gain, first_per_key, join_small, top_n_per_group, with_name
 
 # Snapshot dates have two-digit years: 100 years hold at most this many weeks.
@@ -73,6 +73,9 @@ def top_category_videos(videos, categories, min_views=MIN_VIEWS, n=TOP_CATEGORY_
 
     Only snapshots above `min_views` count. The best snapshot of a video decides its
     category. Without dislikes there is no ratio, and the video ranks last.
+
+    Ratio and views of a snapshot are ordered by one decimal, so the best snapshot of each version of a video is a
+    hash aggregate that combines map-side; only these few rows are sorted, and titles with them.
     """
     rated = videos.where(F.col("views") > min_views).select(
         "category_id",
@@ -81,12 +84,16 @@ def top_category_videos(videos, categories, min_views=MIN_VIEWS, n=TOP_CATEGORY_
         "views",
         ratio("likes", "dislikes").alias("ratio_likes_dislikes"),
     )
-    by_ratio = F.desc_nulls_last("ratio_likes_dislikes")
+    versions = rated.groupBy("category_id", "video_id", "video_title").agg(
+        F.max(pair_order("ratio_likes_dislikes", "views")).alias("_order"),
+        F.max("ratio_likes_dislikes").alias("ratio_likes_dislikes"),
+    )
     best = first_per_key(
-        rated,
+        versions.withColumn("views", number_of_pair("_order")),
         ["video_id"],
-        [by_ratio, F.desc("views"), F.asc_nulls_last("category_id"), F.asc_nulls_last("video_title")],
+        [F.desc("_order"), F.asc_nulls_last("category_id"), F.asc_nulls_last("video_title")],
     )
+    by_ratio = F.desc_nulls_last("ratio_likes_dislikes")
     top = top_n_per_group(best, ["category_id"], [by_ratio, F.asc_nulls_last("video_id")], n, rank="rank")
     return with_name(top, categories, "category_id").select(
         "category_id",
