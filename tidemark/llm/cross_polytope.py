@@ -43,7 +43,7 @@ from tidemark.session import work_folder
 
 LEAST = 0.95
 MISS, PROBES, REACH = 1e-3, 8, 2.2
-SEED, MEAN_ROWS, CUT_ROWS, CUT_BYTES, CHUNK_PAIRS, HOT = 20240701, 1024, 8192, 64 << 20, 1 << 19, 100_000
+SEED, MEAN_ROWS, CUT_ROWS, CUT_BYTES, CHUNK_PAIRS, HOT = 20240701, 4096, 32768, 64 << 20, 1 << 19, 100_000
 MEMBER = "tbl int, code long, cut int, class long, copies long, own boolean, vector binary"
 FOUND = "a long, b long, n long, tbl int, code long, path string, rows long, dim int"
 
