@@ -247,8 +247,10 @@ def near_duplicates(docs, size, id_col="doc_id", text_col="text", percent=PERCEN
     counts = values.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1")
     by_rarity = Window.partitionBy("class").orderBy("df", "value")
     must = F.least(F.ceil(F.col("n") * percent / 100), F.lit(needed))
+    # Counts grow with the corpus, so they are never broadcast, not even where they would still fit: the plan is the same at
+    # every size.
     listed = (
-        values.join(counts, "value")
+        values.join(counts.hint("merge"), "value")
         .withColumns({"rank": F.row_number().over(by_rarity), "shared": F.count("*").over(Window.partitionBy("class"))})
         # Values of no other class come first in the order.
         .filter(F.col("rank") + F.col("k") - F.col("shared") <= F.col("k") - must + F.least(must, F.lit(SHARED)))
