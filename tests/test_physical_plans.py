@@ -158,6 +158,15 @@ def test_rows_of_tags_that_never_win_are_not_shuffled_for_members(table):
     assert distinct.start() < semi and "BroadcastHashJoin" in plan[semi - 200 : semi + 20]
 
 
+@pytest.mark.parametrize("dedupe", ["day", "period"])
+def test_members_of_winning_tags_are_not_shuffled(table, dedupe):
+    """The rows of the result are many times those of the table; they leave the join as they are."""
+    plan = physical(plans.top_tag_videos(table, dedupe))
+    above = plan[: plan.index("Join")]
+    assert "Exchange" not in above and "Aggregate" not in above
+    assert plan.index("Generate explode(sequence") > plan.index("Join")
+
+
 def test_plain_numbers_meet_no_pattern(spark):
     """The plain cast comes first, and the patterns only run where it gives null."""
     plan = physical(plans.normalize_videos(videos(spark, FOLDER)).select("likes"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tidemark.fixed import PERIOD_DAYS, TOP_TAGS
 from tidemark.functions import period_ends, period_start
 from tidemark.operators import explode_tags, top_n_per_group
+from tidemark.session import work_folder
 
 DEDUPE = ("day", "period")
 # Snapshot dates have two-digit years: 100 years and one period hold at most this many end dates.
@@ -79,22 +80,48 @@ def top_tags_monthly(videos, dedupe="day", n=TOP_TAGS, days=PERIOD_DAYS):
     )
 
 
+def _days_per_end(rows, period):
+    """Days of each (video, tag) in the period of each end date, from its distinct dates, by differences.
+
+    A date adds one to the periods from its own end date on, and takes it away after the last that holds it. The running
+    sum over the changes of a (video, tag), at most two per date, is its number of days from one change to the
+    next, and only these spans are spread over their end dates.
+    """
+    enters = F.struct(F.col("date").alias("at"), F.lit(1).alias("change"))
+    leaves = F.struct(F.date_add("date", period).alias("at"), F.lit(-1).alias("change"))
+    # Dealt before each date becomes two changes.
+    rows = rows.where("date IS NOT NULL").repartition("video_id", "tag")
+    changes = rows.select("video_id", "tag", F.inline(F.array(enters, leaves)))
+    dates = Window.partitionBy("video_id", "tag").orderBy("at")
+    spans = changes.select(
+        "video_id",
+        "tag",
+        "at",
+        # Changes of one date are peers: each of them has the sum after all.
+        F.sum("change").over(dates.rangeBetween(Window.unboundedPreceding, Window.currentRow)).alias("days"),
+        F.lead("at").over(dates).alias("until"),
+    )
+    ends = F.explode(period_ends(F.col("at"), F.date_sub("until", 1))).alias("end_date")
+    return spans.where("days > 0 AND until > at").select("video_id", "tag", ends, "days")
+
+
 def top_tag_videos(videos, dedupe="day", n=TOP_TAGS, days=PERIOD_DAYS):
     """The videos counted in `top_tags_monthly`, one row each, with their days in the period.
 
-    The join is an equi-join on (tag, date): each winning tag is spread over the dates of
-    its period, instead of comparing every date with every period. Rows of tags that win no period are dropped before
-    anything is shuffled: hashes of the winning tags are broadcast, at most `n` per period, and so few that
-    a chance match of hashes only costs a row that the join drops.
+    The winning tags are written to the shared folder first, so they are found once, and Spark knows how few they are.
+    The dates of a (video, tag) are brought together, and its days per end date counted there: the rows of the
+    result, many times those of the table, are joined to the winners by equality on (tag, end date) and
+    never shuffled. Rows of tags that win no period are dropped before anything is shuffled: hashes of the
+    winning tags are broadcast, at most `n` per period, and so few that a chance match of hashes only costs
+    a row that the join drops.
     """
-    top = top_tags_monthly(videos, dedupe, n, days)
-    wanted = top.withColumn(
-        "date", F.explode(F.sequence(F.date_sub("end_date", days - 1), F.col("end_date")))
-    )
+    path = work_folder(videos.sparkSession, "top-tags")
+    top_tags_monthly(videos, dedupe, n, days).write.parquet(path)
+    top = videos.sparkSession.read.parquet(path)
     rows = explode_tags(videos, distinct=True).select("video_id", "tag", "date")
     winners = top.select(F.xxhash64("tag").alias("_tag")).distinct()
     winners = F.broadcast(winners) if n * MAX_PERIODS <= MOST_HASHES else winners
     rows = rows.withColumn("_tag", F.xxhash64("tag")).join(winners, "_tag", "left_semi").drop("_tag").distinct()
-    keys = ["start_date", "end_date", "rank", "tag", "number_of_videos", "video_id"]
     # Neither side has null tags, and rows without a date are in no period.
-    return rows.join(wanted, ["tag", "date"]).groupBy(*keys).agg(F.count("*").alias("days"))
+    found = _days_per_end(rows, days).join(top, ["tag", "end_date"])
+    return found.select("start_date", "end_date", "rank", "tag", "number_of_videos", "video_id", "days")
