@@ -10,6 +10,11 @@ from tidemark.session import work_folder
 MAX_ITEMS = 100_000
 
 
+def repeated(pairs):
+    """Array of the items of sorted (item, times) pairs, each as often as it counts."""
+    return F.flatten(F.transform(pairs, lambda p: F.array_repeat(p["item"], p["times"])))
+
+
 def nest(df, keys, item, name, copies=None, max_items=MAX_ITEMS):
     """Gather `item` values per key into pages: rows with `part` and a sorted array `name`.
 
@@ -18,12 +23,17 @@ def nest(df, keys, item, name, copies=None, max_items=MAX_ITEMS):
     in `collect_list`; a group of nulls has one empty page. `copies` names a column that says
     how often a row counts.
 
-    Equal values are counted before the shuffle and repeated only in their page. Positions come
+    Equal values are counted before the shuffle and repeated only in their page, after all shuffles. Positions come
     from a sort by range: running counts within each range of a group, and the counts of
     the ranges before it, of which there are as many as partitions. The sorted counts are
     written to the shared folder, so both are taken of the same ranges; no task sees more of a hot
     group than one range of it.
     """
+    return nest_pairs(df, keys, item, name, copies, max_items).withColumn(name, repeated(name))
+
+
+def nest_pairs(df, keys, item, name, copies=None, max_items=MAX_ITEMS):
+    """The pages of `nest` with (item, times) pairs in place of the items: shorter, if more shuffles follow."""
     spark = df.sparkSession
     count = F.when(F.col("_item").isNotNull(), F.col(copies) if copies else F.lit(1)).otherwise(0)
     packed = (
@@ -54,9 +64,9 @@ def nest(df, keys, item, name, copies=None, max_items=MAX_ITEMS):
             - F.greatest(F.col("_first"), F.col("part") * max_items),
         )
     )
-    return pages.groupBy(*keys, "part").agg(
-        F.sort_array(F.flatten(F.collect_list(F.array_repeat("_item", F.col("_n").cast("int"))))).alias(name)
-    )
+    # A value stands once in a page.
+    pair = F.struct(F.col("_item").alias("item"), F.col("_n").cast("int").alias("times"))
+    return pages.groupBy(*keys, "part").agg(F.sort_array(F.collect_list(pair)).alias(name))
 
 
 # Columns that stay beside a document: its position among the documents, and its page.

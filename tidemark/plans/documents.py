@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.fixed import TOP_CHANNELS, TOP_TRENDING_CHANNELS, TOP_VIDEOS
 from tidemark.operators import as_document, nest
-from tidemark.operators.nesting import MAX_ITEMS
+from tidemark.operators.nesting import MAX_ITEMS, nest_pairs, repeated
 from tidemark.plans.categories import top_category_videos, top_week_category_videos
 from tidemark.plans.channels import top_channel_videos, top_trending_channel_videos
 from tidemark.plans.tags import top_tag_videos
@@ -69,7 +69,7 @@ def week_documents(videos, categories, max_items=MAX_ITEMS):
 def month_documents(videos, dedupe="day", max_items=MAX_ITEMS):
     """Column `month`. Counted per day, a video's id is repeated for each of its days."""
     keys = ["start_date", "end_date", "rank", "tag", "number_of_videos"]
-    rows = nest(
+    rows = nest_pairs(
         top_tag_videos(videos, dedupe),
         keys,
         F.col("video_id"),
@@ -77,7 +77,7 @@ def month_documents(videos, dedupe="day", max_items=MAX_ITEMS):
         copies="days" if dedupe == "day" else None,
         max_items=max_items,
     )
-    # At most ten tags per period and part, each with a bounded array.
+    # At most ten tags per period and part, each with a bounded array; ids are repeated after the last shuffle.
     tag = F.struct("rank", "tag", "number_of_videos", "video_ids")
     months = rows.groupBy("start_date", "end_date", "part").agg(F.sort_array(F.collect_list(tag)).alias("ranked"))
     tags = F.transform(
@@ -85,7 +85,7 @@ def month_documents(videos, dedupe="day", max_items=MAX_ITEMS):
         lambda t: F.struct(
             t["tag"].alias("tag"),
             t["number_of_videos"].alias("number_of_videos"),
-            t["video_ids"].alias("video_ids"),
+            repeated(t["video_ids"]).alias("video_ids"),
         ),
     )
     return as_document(
