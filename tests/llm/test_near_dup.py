@@ -95,3 +95,25 @@ def test_words_do_not_collide():
     random.seed(1)
     texts = {"".join(random.choices("abcé日 ", k=random.randrange(1, 9))).replace(" ", "x") for _ in range(5000)}
     assert len(np.unique(W.text_words(" ".join(texts)))) == len(texts)
+
+
+def test_values_of_one_class_are_left_out_before_the_shuffle(spark, monkeypatch):
+    """Texts with nothing in common but one pair of copies: only what the pair shares reaches the lists' join."""
+    kept, plans = N._kept, {}
+
+    def watched(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return kept(df, name)
+
+    monkeypatch.setattr(N, "_kept", watched)
+    monkeypatch.setattr(N, "VALUES_PER_FILE", 4)
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(40))) for i in range(20)]
+    rows.append((99, rows[3][1] + " end"))
+    assert found(spark, rows, 2) == plain(rows, 2)
+    assert "MapInArrow" in plans["lists"] and "Join" in plans["lists"]
+    values = np.arange(12, dtype=np.int64) * (2**60)
+    wanted = N.HashSet(spark.createDataFrame([(int(v),) for v in values[::5]], "value long"), "value", rows_per_file=2)
+    numbers = N.pa.array(np.arange(12))
+    batch = N.pa.RecordBatch.from_arrays([numbers, numbers, numbers, N.pa.array(values)], ["class", "n", "k", "value"])
+    (got,) = N._values_in(wanted)([batch])
+    assert got.column(0).to_pylist() == [0, 5, 10]

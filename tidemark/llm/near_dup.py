@@ -8,7 +8,8 @@ the start. For the classes:
    retained values but for a chance of about 1e-8, so a class is listed only under the
    `K - NEEDED + SHARED` rarest values that it retains, and two such sets meet in at least `SHARED`
    lists; sets that the sketch holds whole are listed under as many as their size demands, which
-   is exact. Rarity is counted over all classes, and values that one class retains make no list.
+   is exact. Rarity is counted over all classes, and values that one class retains make no list: most are such, and
+   are left out where they are read, before the rest is shuffled with its class.
    Sizes must lie within a factor of 0.8, so lists are kept per size class.
 2. Families. Lists of at most `SHORT` members give overlaps: pairs that meet in `SHARED` of them are
    candidates, in the family of the smaller one. All longer lists with the same smallest member
@@ -47,6 +48,7 @@ PERCENT = 80
 LEAST_ESTIMATE = 0.8 - 5.5 * 0.0354
 SHARED, SHORT = 3, 8
 BLOCK_MEMBERS, BLOCK_VALUES = 2048, 1_000_000
+VALUES_PER_FILE = 1 << 16
 BASE = "id long, n int, class long, sketch binary"
 SETS = "class long, n int, values binary"
 LINKS = "a long, b long"
@@ -244,7 +246,9 @@ def near_duplicates(docs, size, id_col="doc_id", text_col="text", percent=PERCEN
 
     # Inverted lists of the rarest retained values.
     values = _kept(sketches.mapInArrow(_values, "class long, n int, k int, value long"), "retained")
-    counts = values.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1")
+    counts = _kept(values.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1"), "shared-values")
+    several = HashSet(counts, "value", rows_per_file=VALUES_PER_FILE)
+    values = values.mapInArrow(_values_in(several), "class long, n int, k int, value long")
     by_rarity = Window.partitionBy("class").orderBy("df", "value")
     must = F.least(F.ceil(F.col("n") * percent / 100), F.lit(needed))
     listed = (
@@ -318,3 +322,14 @@ def _values(batches):
             columns = [np.repeat(batch.column(i).to_numpy(), k) for i in (0, 1)]
             columns += [np.repeat(k, k), np.concatenate(sketches)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["class", "n", "k", "value"])
+
+
+def _values_in(wanted):
+    """The rows of retained values whose value is wanted."""
+
+    def keep(batches):
+        for batch in batches:
+            hashes = batch.column(3).to_numpy(zero_copy_only=False).view(np.uint64)
+            yield batch.filter(pa.array(wanted.contains(hashes)))
+
+    return keep
