@@ -3,10 +3,13 @@
 import os
 from functools import wraps
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tidemark.llm import near_dup, pieces, secrets, toxicity, wu_manber
+from tidemark.llm.arrays import HashSet
 from tidemark.llm.batches import small_batches
 from tidemark.session import work_folder
 from tidemark.sources import table
@@ -46,6 +49,20 @@ def _with_keys(docs):
     return docs.join(marks, "doc_id", "left").withColumn("_key", key).select(*docs.columns, "_key")
 
 
+def _without(docs, keys):
+    """The rows whose `_key` is not among `keys`, or null. The keys go to files that tasks map, so no text is shuffled.
+
+    xxhash64 takes different longs to different longs, so the test is exact, and spreads them over the files.
+    """
+    marks = HashSet(_kept(keys.select(F.xxhash64("_key").alias("mark")).distinct(), "dropped-keys"), "mark")
+
+    @F.arrow_udf("boolean")
+    def dropped(values: pa.Array) -> pa.Array:
+        return pa.array(marks.contains(values.to_numpy(zero_copy_only=False).view(np.uint64)))
+
+    return docs.filter(F.col("_key").isNull() | ~dropped(F.xxhash64("_key")))
+
+
 def drop_near_copies(spark, docs, sf_dir):
     """One document of each group of near copies, that with the smallest id.
 
@@ -55,10 +72,10 @@ def drop_near_copies(spark, docs, sf_dir):
     """
     keyed = _with_keys(docs)
     found = _kept(near_dup.near_duplicates(keyed, size=SHINGLE_WORDS, id_col="_key"), "near-copies")
-    copies = found.filter("not kept").select("_key").distinct()
+    copies = found.filter("not kept").select("_key")
     repeated = found.filter("kept and _key is not null").groupBy("_key").count().filter("count > 1").select("_key")
     repeated = _kept(repeated, "repeated-ids")
-    keyed = keyed.join(copies, "_key", "left_anti")
+    keyed = _without(keyed, copies)
     if repeated.isEmpty():
         return keyed.select(docs.columns)
     first = F.min(F.struct("text", *[c for c in docs.columns if c != "text"])).alias("row")

@@ -120,3 +120,17 @@ print(json.dumps([sorted(e.queries()), sorted(e.oracle_sql())]))
 
 def test_words_of_helper_agree():
     assert words("A b c\x0bd") == [b"a", "b c".encode(), b"d"]
+
+
+def test_texts_are_not_shuffled_to_drop_copies(spark):
+    """Not even where the dropped keys are too many to be broadcast."""
+    key, rows = "spark.sql.autoBroadcastJoinThreshold", [(i, f"text {i}") for i in range(50)] + [(None, "no key")]
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        df = docs(spark, rows).withColumn("_key", P.F.col("doc_id"))
+        left = P._without(df, df.filter("doc_id % 2 = 0").select("_key"))
+        assert "Exchange" not in left._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.text for r in left.collect()) == sorted([f"text {i}" for i in range(1, 50, 2)] + ["no key"])
+    finally:
+        spark.conf.set(key, before)
