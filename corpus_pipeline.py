@@ -113,14 +113,14 @@ def encode_pieces(spark, docs, sf_dir):
     Null texts are encoded like empty ones, very long ones whole; rows with equal ids are encoded one by one.
     """
     model = pieces.read_model(public_tokenizers.path(PIECE_MODEL))
-    coded = docs.withColumn("ids", pieces.encoder(model)("text"))
+    coded = docs.withColumn("coded", pieces.round_tripper(model)("text"))
     return coded.select(
         "doc_id",
         "lang",
         "source",
-        F.size("ids").cast("long").alias("n_tokens"),
-        "ids",
-        (pieces.decoder(model)("ids") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+        F.size("coded.ids").cast("long").alias("n_tokens"),
+        "coded.ids",
+        (F.col("coded.decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
     )
 
 

@@ -52,3 +52,11 @@ def test_decoding_empty_lists(lists):
 
 def test_empty_table(spark):
     assert docs(spark, []).select(pieces.encoder(MODEL)("text")).collect() == []
+
+
+def test_round_trips_of_awkward_rows(spark):
+    rows = docs(spark, AWKWARD).select("text", pieces.round_tripper(MODEL)("text").alias("coded")).collect()
+    assert len(rows) == len(AWKWARD)
+    for row in rows:
+        assert row.coded.ids == LIBRARY.encode(row.text or "")
+        assert row.coded.decoded == LIBRARY.decode(row.coded.ids)

@@ -134,3 +134,10 @@ def test_texts_are_not_shuffled_to_drop_copies(spark):
         assert sorted(r.text for r in left.collect()) == sorted([f"text {i}" for i in range(1, 50, 2)] + ["no key"])
     finally:
         spark.conf.set(key, before)
+
+
+def test_pieces_keep_one_worker_a_task(spark):
+    """Encoding and decoding chained would keep two, each with a model."""
+    frames = [P.encode_pieces(spark, docs(spark, [(1, "a text")]), ""), QUERIES["op9_pieces"](spark, FOLDER)]
+    plans = [f._jdf.queryExecution().executedPlan().toString() for f in frames]
+    assert [p.count("ArrowEvalPython") for p in plans] == [1, 1]

@@ -84,6 +84,11 @@ class Chunks:
             at += n
         return pa.array(texts, pa.string())
 
+    def round_trips(self, texts):
+        """Arrow array of texts to an Arrow array of structs: the ids, and the text that they decode to."""
+        ids = self.encode_all(texts)
+        return pa.StructArray.from_arrays([ids, self.decode_all(ids)], ["ids", "decoded"])
+
 
 @lru_cache(maxsize=2)
 def _worker(model):
@@ -119,3 +124,22 @@ def decoder(model):
         return _worker(model).decode_all(lists)
 
     return decode
+
+
+def round_tripper(model):
+    """Function of a text column that gives `ids` and `decoded`, the text of these ids.
+
+    Both come from one worker: chained functions would keep two workers a task, each with a model, and send the ids
+    to Python once more.
+    """
+
+    @F.arrow_udf("struct<ids: array<int>, decoded: string>")
+    def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        worker = _worker(model)
+        try:
+            for texts in batches:
+                yield worker.round_trips(texts)
+        finally:
+            worker.clear()
+
+    return code

@@ -106,8 +106,8 @@ def op8_hash_ring(spark, folder):
 
 def op9_pieces(spark, folder):
     model = pieces.read_model(public_tokenizers.path(PIECE_MODEL))
-    rows = table(spark, folder, "documents").select("doc_id", pieces.encoder(model)("text").alias("ids"))
-    rows = rows.withColumn("decoded", pieces.decoder(model)("ids"))
+    rows = table(spark, folder, "documents").select("doc_id", pieces.round_tripper(model)("text").alias("coded"))
+    rows = rows.select("doc_id", "coded.ids", "coded.decoded")
     return rows.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
